@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticklake.functions.normalize import clean_text, code_list
+from ticklake.sources.workspace import settle
 
 # An IN list stays part of the filter (and reaches Parquet); beyond it the list becomes a join.
 MAX_IN_LIST = 500
@@ -15,61 +16,63 @@ MAX_BROADCAST_ROWS = 1_000_000
 SALTS = 32
 
 
-def codes_frame(spark: SparkSession, codes: Iterable[str], column: str = "code") -> DataFrame:
-    """Request list as rows ``(column, pos)``, cleaned and distinct, in request order."""
-    items = [(c, i) for i, c in enumerate(code_list(codes))]
-    return spark.createDataFrame(items, f"{column} string, pos int")
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     how: str,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    size: int | None = None,
+    max_broadcast_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left, inner or left-semi join of ``rows`` with ``lookup`` (unique on ``on``).
+    """Left, inner, left-semi or left-anti join of ``rows`` with ``lookup`` (unique on ``on``).
 
-    The lookup is counted first. Up to ``max_broadcast_rows`` it is broadcast and ``rows`` are not
-    shuffled. Beyond that the join shuffles on the key plus a salt taken from the input task: a code
-    that holds a third of all rows spreads over ``salts`` tasks, and copies of a row spread too.
-    A task re-run after a lost executor repeats the same salt.
+    Unless its ``size`` is known, the lookup is written once and counted from the file footers. Up to
+    ``max_broadcast_rows`` it is broadcast and ``rows`` are not shuffled. Beyond that the join
+    shuffles on the key plus a salt taken from the input task: a code that holds a third of all rows
+    spreads over ``salts`` tasks, and so do copies of one row. A task re-run after a lost executor
+    repeats the same salt.
     """
     on = list(on)
-    if lookup.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    limit = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    if size is None:
+        lookup = settle(lookup, "lookups")
+        size = lookup.count()
+    if size <= limit:
         return rows.join(F.broadcast(lookup), on, how)
     salted = rows.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
-def only_codes(
-    rows: DataFrame,
-    codes: Sequence[str] | DataFrame | None,
-    column: str = "code",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Rows of the requested codes: IN filter for a short list, left-semi join otherwise."""
-    if codes is None:
-        return rows
-    if not isinstance(codes, DataFrame):
-        codes = code_list(codes)
-        if len(codes) <= MAX_IN_LIST:
-            return rows.where(F.col(column).isin(codes))
-        codes = codes_frame(rows.sparkSession, codes, column)
-    return lookup_join(rows, codes.select(column).distinct(), [column], "left_semi", max_broadcast_rows)
-
-
-def in_request_order(rows: DataFrame, codes: Sequence[str] | DataFrame, column: str, *then: str) -> DataFrame:
-    """Sort by position in the request, then by ``then``; ``codes`` may be a frame with ``pos``."""
-    if not isinstance(codes, DataFrame):
-        codes = codes_frame(rows.sparkSession, codes, column)
-    ranked = lookup_join(rows, codes.select(column, "pos"), [column], "inner")
-    return ranked.orderBy("pos", *then).drop("pos")
-
-
 def distinct_in_order(codes: DataFrame, column: str = "code") -> DataFrame:
     """Requested codes (``column``, ``pos``) trimmed, blanks out, each at its first position."""
     clean = codes.select(clean_text(column).alias(column), "pos").where(F.col(column).isNotNull())
     return clean.groupBy(column).agg(F.min("pos").alias("pos"))
+
+
+def codes_frame(spark: SparkSession, codes: Iterable[str], column: str = "code") -> DataFrame:
+    """Request list as rows ``(column, pos)``, cleaned and distinct, in request order."""
+    items = [(c, i) for i, c in enumerate(code_list(codes))]
+    return spark.createDataFrame(items, f"{column} string, pos int")
+
+
+def only_codes(rows: DataFrame, codes: Sequence[str] | DataFrame | None, column: str = "code") -> DataFrame:
+    """Rows of the requested codes: IN filter for a short list, left-semi join otherwise."""
+    if codes is None:
+        return rows
+    if isinstance(codes, DataFrame):
+        return lookup_join(rows, codes.select(column).distinct(), [column], "left_semi")
+    codes = code_list(codes)
+    if len(codes) <= MAX_IN_LIST:
+        return rows.where(F.col(column).isin(codes))
+    frame = codes_frame(rows.sparkSession, codes, column)
+    return lookup_join(rows, frame.select(column), [column], "left_semi", len(codes))
+
+
+def with_position(rows: DataFrame, codes: Sequence[str] | DataFrame, column: str) -> DataFrame:
+    """Rows of the requested codes with ``pos``, their place in the request."""
+    if isinstance(codes, DataFrame):
+        return lookup_join(rows, distinct_in_order(codes, column), [column], "inner")
+    codes = code_list(codes)
+    return lookup_join(rows, codes_frame(rows.sparkSession, codes, column), [column], "inner", len(codes))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -63,6 +64,29 @@ def common_watermark(
     )
 
 
+def group_watermarks(
+    target: DataFrame, wanted: DataFrame, group: Sequence[str], date_column: str, recent_since: date | None = None
+) -> DataFrame:
+    """Latest date of every group in ``wanted`` that has history, written once.
+
+    The newest rows of a group sit in its newest month. With ``recent_since`` only the months from
+    there on are scanned, and the older ones just for the groups not found, usually none: the cost
+    follows the recent data instead of the whole table. The date only steers the scan; any value
+    gives the same watermarks.
+    """
+    group = list(group)
+    if recent_since is None or S.MONTH not in target.columns:
+        return settle(latest_by_group(target, group, date_column), "watermarks")
+    recent = F.col(S.MONTH) >= f"{recent_since:%Y%m}"
+    found = settle(latest_by_group(target.where(recent), group, date_column), "watermarks")
+    missing = settle(lookup_join(wanted.select(*group).distinct(), found, group, "left_anti"), "watermarks")
+    n = missing.count()
+    if n == 0:
+        return found
+    older = lookup_join(target.where(~recent | F.col(S.MONTH).isNull()), missing, group, "left_semi", n)
+    return found.unionByName(settle(latest_by_group(older, group, date_column), "watermarks"))
+
+
 def incremental_select(
     raw: DataFrame,
     target: DataFrame,
@@ -71,16 +95,17 @@ def incremental_select(
     begin=None,
     end=None,
     lookback_days: int = 0,
+    recent_since: date | None = None,
 ) -> DataFrame:
     """Raw rows past their own group's watermark, from ``begin`` to ``end``, for all groups at once.
 
     ``lookback_days`` re-reads the last days, for days that were loaded while still incomplete; the
     read-time dedup makes the overlap harmless.
     """
-    group = list(group)
-    latest = latest_by_group(target, group, date_column).where(N.valid_watermark("latest_date").isNotNull())
     wanted = date_range(raw, date_column, begin, end)
-    joined = lookup_join(wanted, settle(latest, "watermarks"), group, "left")
+    latest = group_watermarks(target, wanted, group, date_column, recent_since)
+    usable = latest.where(N.valid_watermark("latest_date").isNotNull())
+    joined = lookup_join(wanted, usable, group, "left", latest.count())
     start = N.incremental_start("latest_date", None, lookback_days)
     past = F.col(date_column).cast("date") >= start
     return joined.where(F.col("latest_date").isNull() | past).select(*raw.columns)
@@ -90,9 +115,9 @@ def incremental_select(
 
 def latest_checkpoint(log: DataFrame, by: Sequence[str] = ("task_name", "scope_key")) -> DataFrame:
     """Date of the last success per task and scope; successes without a date are passed over."""
-    date = F.coalesce("end_date", "start_date")
-    dated = log.where((F.col("status") == S.SUCCESS) & date.isNotNull())
-    return dated.groupBy(*by).agg(F.max_by(date, "finished_at").alias("checkpoint_date"))
+    day = F.coalesce("end_date", "start_date")
+    dated = log.where((F.col("status") == S.SUCCESS) & day.isNotNull())
+    return dated.groupBy(*by).agg(F.max_by(day, "finished_at").alias("checkpoint_date"))
 
 
 def checkpoint_from_log(log: DataFrame) -> DataFrame:

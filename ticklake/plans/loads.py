@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,7 +17,7 @@ from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators import watermarks as W
 from ticklake.operators.lookup import only_codes
-from ticklake.operators.ranges import as_date, date_range
+from ticklake.operators.ranges import as_date, bar_time_of_day, date_range, snapshot_time_of_day
 from ticklake.sources.lake import Lake
 
 
@@ -33,6 +33,28 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+@dataclass(frozen=True)
+class LogState:
+    """What the audit log says before a load."""
+
+    done_today: bool
+    checkpoint: date | None  # last success of this task and scope
+    table_date: date | None  # newest date any success brought into the table
+
+
+def log_state(lake: Lake, table: str, task_name: str, scope_key: str, run_date: date) -> LogState:
+    """One small aggregate over the log (one row per run)."""
+    day = F.coalesce("end_date", "start_date")
+    ok = F.col("status") == S.SUCCESS
+    same = ok & (F.col("task_name") == task_name) & (F.col("scope_key") == scope_key)
+    row = lake.read("sync_task_log").agg(
+        F.count_if(same & (F.col("run_date") == F.lit(run_date))).alias("today"),
+        F.max(F.when(same & day.isNotNull(), F.struct("finished_at", day.alias("day")))).alias("last"),
+        F.max(F.when(ok & (F.col("target_table") == table), day)).alias("newest"),
+    ).first()
+    return LogState(row["today"] > 0, row["last"]["day"] if row["last"] else None, row["newest"])
+
+
 def succeeded_today(lake: Lake, task_name: str, scope_key: str, run_date: date) -> bool:
     """Reads one month partition of the log."""
     log = date_range(lake.read("sync_task_log"), "run_date", run_date, run_date)
@@ -55,6 +77,8 @@ def incremental_load(
 ) -> LoadResult:
     """Select the rows past each group's watermark, append them, write one log row.
 
+    The log row spans from the scope's previous checkpoint (else the first new date) to the newest
+    date known, so a run without new rows keeps the checkpoint.
     ``force`` lifts the once-a-day guard, not the watermark. ``raw`` may be a function, so that a
     skipped run does not touch the source. A table without a date is appended whole and the read
     view keeps the newest row per key.
@@ -72,22 +96,30 @@ def incremental_load(
         )
         return LoadResult(status, rows, first, last)
 
-    if not force and succeeded_today(lake, task_name, scope_key, run_date):
-        return log(S.SKIPPED, message=f"{task_name} already succeeded on {run_date}")
+    state = log_state(lake, table, task_name, scope_key, run_date)
+    before = state.checkpoint
+    if state.done_today and not force:
+        return log(S.SKIPPED, 0, before, before, f"{task_name} already succeeded on {run_date}")
     if raw is None:
-        return log(S.FAILED, message=f"{task_name} has no source")
+        return log(S.FAILED, 0, before, before, f"{task_name} has no source")
     try:
         rows = raw() if callable(raw) else raw
         if spec.date_column:
             rows = W.incremental_select(
-                rows, lake.read(table), spec.group, spec.date_column, begin, end, lookback_days
+                rows, lake.read(table), spec.group, spec.date_column, begin, end, lookback_days,
+                _month_before(state.table_date),
             )
         stats = lake.append(table, rows, time.time_ns() // 1000, order)
     except Exception as error:
-        log(S.FAILED, message=f"{task_name} failed: {error}"[:2000])
+        log(S.FAILED, 0, before, before, f"{task_name} failed: {error}"[:2000])
         raise
-    first, last = (stats.min_date, stats.max_date) if spec.date_column else (run_date, run_date)
-    return log(S.SUCCESS, stats.row_count, first, last, f"{task_name} appended {stats.row_count} rows")
+    lo, hi = (stats.min_date, stats.max_date) if spec.date_column else (run_date, run_date)
+    last = max((d for d in (before, hi) if d), default=None)
+    return log(S.SUCCESS, stats.row_count, before or lo, last, f"{task_name} appended {stats.row_count} rows")
+
+
+def _month_before(day: date | None) -> date | None:
+    return None if day is None else (day.replace(day=1) - timedelta(days=1)).replace(day=1)
 
 
 # ----------------------------------------------------------------- one function per table
@@ -178,7 +210,5 @@ def _restricted(raw, codes, column: str):
 
 
 def _at_times(raw, begin_time, end_time, snapshot: bool):
-    from ticklake.operators.ranges import bar_time_of_day, snapshot_time_of_day
-
     keep = snapshot_time_of_day if snapshot else bar_time_of_day
     return raw if begin_time is None and end_time is None else _later(raw, lambda df: keep(df, begin_time, end_time))

@@ -6,7 +6,7 @@ a day per request, then guarded by the log).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from typing import Protocol
 
@@ -65,8 +65,18 @@ class MarketLake:
         """Opens the source only when the load really runs."""
         return (lambda: getattr(self.source, name)(*args)) if self.source is not None else None
 
-    def _out(self, df: DataFrame, what: str) -> DataFrame:
-        return views.require_rows(df, what) if self.require_rows else df
+    def _serve(self, what: str, sync: Callable[[bool], int], view: Callable[[], DataFrame]) -> DataFrame:
+        """Load, then read. With ``require_rows`` an empty result forces one more load before it is
+        an error; the check runs a job, so it is off by default."""
+        if self.source is not None:
+            sync(False)
+        df = view()
+        if not self.require_rows:
+            return df
+        if self.source is not None and df.isEmpty():
+            sync(True)
+            df = view()
+        return views.require_rows(df, what)
 
     # ------------------------------------------------------------- loads
 
@@ -131,26 +141,25 @@ class MarketLake:
 
     def get_calendar(self, data_type: str = "str", market: str = "SH") -> DataFrame:
         market = _text(market, "market")
-        if self.source is not None:
-            self.sync_calendar(market)
-        return self._out(views.calendar(self.lake.read("trade_calendar"), market, data_type), f"calendar {market}")
+        return self._serve(
+            f"calendar {market}", lambda force: self.sync_calendar(market, force),
+            lambda: views.calendar(self.lake.read("trade_calendar"), market, data_type),
+        )
 
     def get_code_info(self, security_type: str = S.UNIVERSE_TYPES["security"]) -> DataFrame:
         security_type = _text(security_type, "security_type")
-        if self.source is not None:
-            self.sync_code_info(security_type)
-        return self._out(views.code_info(self.lake.read("code_info"), security_type), f"code info {security_type}")
+        return self._serve(
+            f"code info {security_type}", lambda force: self.sync_code_info(security_type, force),
+            lambda: views.code_info(self.lake.read("code_info"), security_type),
+        )
 
     def get_code_list(self, security_type: str = S.UNIVERSE_TYPES["security"], force: bool = False) -> DataFrame:
-        """Universe of one security type; an empty universe is reloaded once."""
+        """Universe of one security type."""
         security_type = _text(security_type, "security_type")
-        if self.source is not None:
-            self.sync_code_info(security_type, force)
-        codes = self.get_universe_from_db(security_type)
-        if self.source is not None and codes.isEmpty():
-            self.sync_code_info(security_type, force=True)
-            codes = self.get_universe_from_db(security_type)
-        return self._out(codes, f"universe {security_type}")
+        return self._serve(
+            f"universe {security_type}", lambda again: self.sync_code_info(security_type, force or again),
+            lambda: self.get_universe_from_db(security_type),
+        )
 
     def get_universe_from_db(self, security_type: str = S.UNIVERSE_TYPES["security"]) -> DataFrame:
         return views.universe(self.lake.read("code_info"), _text(security_type, "security_type"))
@@ -173,10 +182,10 @@ class MarketLake:
     def get_hist_code_list(self, security_type: str, start_date, end_date) -> DataFrame:
         security_type = _text(security_type, "security_type")
         begin, end = _range(start_date, end_date)
-        if self.source is not None:
-            self.sync_hist_code_list(security_type, begin, end)
-        rows = self.lake.read("hist_code_daily")
-        return self._out(views.hist_codes(rows, security_type, begin, end), f"members of {security_type}")
+        return self._serve(
+            f"members of {security_type}", lambda force: self.sync_hist_code_list(security_type, begin, end, force),
+            lambda: views.hist_codes(self.lake.read("hist_code_daily"), security_type, begin, end),
+        )
 
     def get_adj_factor(self, code_list) -> DataFrame:
         return self._factor("adj", code_list)
@@ -186,34 +195,33 @@ class MarketLake:
 
     def _factor(self, factor_type: str, code_list) -> DataFrame:
         codes = _codes(code_list)
-        if self.source is not None:
-            self._sync_factor(factor_type, codes, force=False)
-        return self._out(
-            views.factor_matrix(self.lake.read("price_factor"), factor_type, codes), f"{factor_type} factors"
+        return self._serve(
+            f"{factor_type} factors", lambda force: self._sync_factor(factor_type, codes, force),
+            lambda: views.factor_matrix(self.lake.read("price_factor"), factor_type, codes),
         )
 
     def get_stock_basic(self, code_list) -> DataFrame:
         codes = _codes(code_list)
-        if self.source is not None:
-            self.sync_stock_basic(codes)
-        return self._out(views.stock_basic(self.lake.read("stock_basic"), codes), "stock profiles")
+        return self._serve(
+            "stock profiles", lambda force: self.sync_stock_basic(codes, force),
+            lambda: views.stock_basic(self.lake.read("stock_basic"), codes),
+        )
 
     def get_history_stock_status(self, code_list, begin_date=None, end_date=None) -> DataFrame:
-        codes = _codes(code_list)
-        begin, end = _range(begin_date, end_date)
-        if self.source is not None:
-            self.sync_history_stock_status(codes, begin, end)
-        rows = self.lake.read("history_stock_status")
-        return self._out(views.stock_status(rows, codes, begin, end), "trading status")
+        codes, (begin, end) = _codes(code_list), _range(begin_date, end_date)
+        return self._serve(
+            "trading status", lambda force: self.sync_history_stock_status(codes, begin, end, force),
+            lambda: views.stock_status(self.lake.read("history_stock_status"), codes, begin, end),
+        )
 
     def query_kline(self, code_list, begin_date, end_date, period="day", begin_time=None, end_time=None,
                     ordered: bool = True) -> DataFrame:
         codes, (begin, end) = _codes(code_list), _range(begin_date, end_date)
         table, _ = loads.kline_table(period)
-        if self.source is not None:
-            self.sync_kline(codes, begin, end, period, begin_time, end_time)
-        rows = self.lake.read(table)
-        return self._out(views.kline(rows, codes, begin, end, begin_time, end_time, ordered), table)
+        return self._serve(
+            table, lambda force: self.sync_kline(codes, begin, end, period, begin_time, end_time, force),
+            lambda: views.kline(self.lake.read(table), codes, begin, end, begin_time, end_time, ordered),
+        )
 
     def query_kline_minute(self, code_list, begin_date, end_date, begin_time=None, end_time=None,
                            ordered: bool = True) -> DataFrame:
@@ -222,10 +230,12 @@ class MarketLake:
     def query_snapshot(self, code_list, begin_date, end_date, begin_time=None, end_time=None,
                        kind: str = "snapshot", ordered: bool = True) -> DataFrame:
         codes, (begin, end) = _codes(code_list), _range(begin_date, end_date)
-        if self.source is not None:
-            self.sync_snapshot(codes, begin, end, begin_time, end_time)
-        rows = self.lake.read("market_snapshot")
-        return self._out(views.snapshot(rows, codes, begin, end, begin_time, end_time, kind, ordered), "snapshots")
+        return self._serve(
+            "snapshots", lambda force: self.sync_snapshot(codes, begin, end, begin_time, end_time, force),
+            lambda: views.snapshot(
+                self.lake.read("market_snapshot"), codes, begin, end, begin_time, end_time, kind, ordered
+            ),
+        )
 
     # ------------------------------------------------------------- defaults and audit
 

@@ -171,9 +171,7 @@ def _incremental(lookback: int) -> str:
 
 _DIGITS = "regexp_replace({0}, '[^0-9]', '', 'g')"
 _DAY = f"CASE WHEN length({_DIGITS.format('date_text')}) = 8 THEN CAST(try_strptime({_DIGITS.format('date_text')}, '%Y%m%d') AS DATE) END"
-_BASIC_MAPPED = (
-    "strftime(trade_time, '%Y%m') AS month"
-)
+_MONTH = "strftime(trade_time, '%Y%m') AS month"
 _LOADED_KLINE = _latest("bars", BAR_KEY, "trade_time, code, open, high, low, close, volume, amount")
 _TICK_COLS = ", ".join(S.SNAPSHOT_LAYOUTS["snapshot"])
 _STREAM_BARS = """
@@ -209,8 +207,9 @@ ORACLE: dict[str, str] = {
     "history_stock_status": _with(STATUS) + _latest(
         "status", "market_code, trade_date", STATUS_VENDOR,
         "trade_date >= DATE '1996-01-01' AND market_code IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)"),
-    "request_order": _with(STATUS) + "SELECT market_code, max(trade_date) AS latest_date FROM status "
-        "WHERE market_code IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) GROUP BY market_code",
+    "request_order": _with(STATUS) + "SELECT market_code, latest_date, -c_custkey AS pos FROM "
+        "(SELECT market_code, max(trade_date) AS latest_date FROM status GROUP BY market_code) "
+        "JOIN customer ON market_code = CAST(c_custkey AS VARCHAR)",
     "trade_calendar": _with(CALENDAR) + "SELECT DISTINCT strftime(trade_date, '%Y%m%d') AS trade_date FROM calendar WHERE market = 'SH'",
     "trade_calendar_datetime": _with(CALENDAR) + "SELECT DISTINCT CAST(trade_date AS TIMESTAMP) AS trade_date FROM calendar WHERE market = 'SZ'",
     "latest_calendar_date": _with(CALENDAR) + "SELECT market, max(trade_date) AS latest_date FROM calendar GROUP BY market",
@@ -291,10 +290,10 @@ ORACLE: dict[str, str] = {
     "natural_days": _with(MEMBERS) + "SELECT security_type, code, trade_date + CAST(n.i AS INTEGER) AS day FROM members, range(6) AS n(i)",
     "append_rows": _with(BARS) + _latest(
         "bars", "code, trade_time, l_linestatus = 'O'",
-        f"{KLINE}, CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS BIGINT) AS ingest_seq, {_BASIC_MAPPED}"),
+        f"{KLINE}, CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS BIGINT) AS ingest_seq, {_MONTH}"),
     "union_old_new": _with(BARS) + _latest("bars", BAR_KEY, KLINE),
     "compact_month": _with(BARS) + _latest(
-        "bars", BAR_KEY, f"{KLINE}, CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS BIGINT) AS ingest_seq, {_BASIC_MAPPED}",
+        "bars", BAR_KEY, f"{KLINE}, CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS BIGINT) AS ingest_seq, {_MONTH}",
         order="l_linestatus <> 'O' DESC, ingest_seq"),
     "append_new": _with(CALENDAR) + "SELECT market, trade_date, CAST(CASE WHEN bool_or(o_orderpriority = '1-URGENT') THEN 1 ELSE 2 END AS BIGINT) "
         "AS ingest_seq, strftime(trade_date, '%Y%m') AS month FROM calendar GROUP BY market, trade_date",
@@ -316,7 +315,7 @@ ORACLE: dict[str, str] = {
         "'history_stock_status' AS target_table, checkpoint_date, row_count FROM ("
         "SELECT DATE '2024-01-01' AS run_date, 'success' AS status, max(trade_date) AS checkpoint_date, count(*) AS row_count FROM n WHERE trade_date <= DATE '1998-06-30' "
         "UNION ALL SELECT DATE '2024-01-02', 'success', max(trade_date), count(*) FROM n WHERE trade_date > DATE '1998-06-30' "
-        "UNION ALL SELECT DATE '2024-01-02', 'skipped', CAST(NULL AS DATE), 0)",
+        "UNION ALL SELECT DATE '2024-01-02', 'skipped', max(trade_date), 0 FROM n)",
     **{f"kline_resample_min{n}": _with(MINUTES) + _resample("minutes", _minutes(n)) for n in (3, 5, 10, 15, 30, 60, 120)},
     "kline_resample_day": _with(MINUTES) + _resample("minutes", "date_trunc('day', trade_time)"),
     **{

@@ -11,7 +11,7 @@ from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators import bars as B, matrix, quality, ranges, watermarks as W
 from ticklake.operators.dedup import latest_per_key, union_latest
-from ticklake.operators.lookup import distinct_in_order, in_request_order, only_codes
+from ticklake.operators.lookup import distinct_in_order, only_codes, with_position
 from ticklake.plans import loads, views
 from ticklake.sources import raw, sample_tables as T
 from ticklake.sources.lake import Lake
@@ -33,9 +33,7 @@ def query(f: Query) -> Query:
 
 
 def _lake(spark: SparkSession) -> Lake:
-    lake = Lake(spark, scratch_path(spark, "lake"))
-    lake.ensure_tables()
-    return lake
+    return Lake(spark, scratch_path(spark, "lake"))
 
 
 # ----------------------------------------------------------------- range reads
@@ -117,8 +115,7 @@ def history_stock_status(spark, sf):
 def request_order(spark, sf):
     """Codes of the request that have status rows, with their position."""
     latest = W.latest_by_group(T.status(spark, sf), ["market_code"], "trade_date")
-    codes = T.customer_codes(spark, sf)
-    return in_request_order(latest, codes, "market_code").select("market_code", "latest_date")
+    return with_position(latest, T.customer_codes(spark, sf), "market_code").orderBy("pos")
 
 
 # ----------------------------------------------------------------- calendar, codes, universe
@@ -487,8 +484,9 @@ def load_stock_basic(spark, sf):
 @query
 def load_status(spark, sf):
     rows = T.status(spark, sf)
-    return _in_two_windows(_lake(spark), "history_stock_status", loads.load_status, rows, "trade_date",
-                           order="ingest_seq")
+    return _in_two_windows(
+        _lake(spark), "history_stock_status", loads.load_status, rows, "trade_date", order="ingest_seq"
+    )
 
 
 @query

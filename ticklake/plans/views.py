@@ -10,7 +10,7 @@ from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators import matrix, ranges, watermarks as W
 from ticklake.operators.dedup import latest_per_key
-from ticklake.operators.lookup import codes_frame, in_request_order, only_codes
+from ticklake.operators.lookup import only_codes, with_position
 from ticklake.schemas import INGEST_SEQ
 
 Codes = Sequence[str] | DataFrame
@@ -64,25 +64,20 @@ def stock_basic(rows: DataFrame, codes: Codes, order=INGEST_SEQ) -> DataFrame:
     The common date is the earliest of the codes' latest snapshot dates; it is empty, and so is the
     result, unless every requested code has a profile.
     """
-    if not isinstance(codes, DataFrame):
-        codes = codes_frame(rows.sparkSession, codes, "market_code")
     asof = W.common_watermark(rows, codes, "market_code", "snapshot_date").scalar()
-    at_date = only_codes(rows.where(F.col("snapshot_date") == asof), codes, "market_code")
+    at_date = with_position(rows.where(F.col("snapshot_date") == asof), codes, "market_code")
     values = [c for c in S.STOCK_BASIC_NAMES.values() if c != "market_code"]
-    latest = in_request_order(latest_per_key(at_date, ["market_code"], values, order), codes, "market_code")
+    latest = latest_per_key(at_date, ["market_code", "pos"], values, order).orderBy("pos")
     return latest.select(*[F.col(c).alias(vendor) for vendor, c in S.STOCK_BASIC_NAMES.items()])
 
 
 def stock_status(rows: DataFrame, codes: Codes, begin=None, end=None, order=INGEST_SEQ) -> DataFrame:
     """Daily trading status, vendor names, dates as YYYYMMDD, request order then date."""
-    if not isinstance(codes, DataFrame):
-        codes = codes_frame(rows.sparkSession, codes, "market_code")
-    fields = list(S.STATUS_NAMES.values())
-    latest = ranges.range_read(
-        rows, ["market_code", "trade_date"], fields, codes, begin, end, "market_code", "trade_date", order=order
-    )
-    named = in_request_order(latest, codes, "market_code", "trade_date")
-    return named.withColumn("trade_date", N.date_to_text("trade_date")).select(
+    chosen = with_position(ranges.date_range(rows, "trade_date", begin, end), codes, "market_code")
+    key = ["market_code", "trade_date"]
+    values = [c for c in S.STATUS_NAMES.values() if c not in key]
+    latest = latest_per_key(chosen, [*key, "pos"], values, order).orderBy("pos", "trade_date")
+    return latest.withColumn("trade_date", N.date_to_text("trade_date")).select(
         *[F.col(c).alias(vendor) for vendor, c in S.STATUS_NAMES.items()]
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ticklake import schemas as S
@@ -29,15 +30,22 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def ensure_tables(self) -> None:
-        """Create the folders of all tables that do not exist yet; existing data stays."""
-        for name, spec in S.TABLES.items():
+    def ensure_tables(self, *names: str) -> None:
+        """Create the folders of the tables (all by default) ahead of their first write; data stays."""
+        for name in names or S.TABLES:
+            spec = S.TABLES[name]
             empty = self.spark.createDataFrame([], spec.stored_schema).write.mode("append")
             (empty.partitionBy(S.MONTH) if spec.date_column else empty).parquet(self.path(name))
 
     def read(self, table: str) -> DataFrame:
-        """Stored rows, duplicates included."""
-        return self.spark.read.schema(S.TABLES[table].stored_schema).parquet(self.path(table))
+        """Stored rows, duplicates included; empty before the first write."""
+        schema = S.TABLES[table].stored_schema
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def latest(self, table: str) -> DataFrame:
         """Read view: one row per key."""
