@@ -30,10 +30,10 @@ def test_dates(spark):
 
 def test_times(spark):
     texts = ["20240327", "202403270930", "20240327093001", "20240327093001123", "2024-03-27 09:30:01",
-             "123456789", "", None, "20240327253001", "2024-03-27T09:30:01.007"]
+             "123456789", "", None, "20240327253001", "2024-03-27T09:30:01.007", "00000327"]
     want = [datetime(2024, 3, 27), datetime(2024, 3, 27, 9, 30), datetime(2024, 3, 27, 9, 30, 1),
             datetime(2024, 3, 27, 9, 30, 1, 123000), datetime(2024, 3, 27, 9, 30, 1), None, None, None, None,
-            datetime(2024, 3, 27, 9, 30, 1, 7000)]
+            datetime(2024, 3, 27, 9, 30, 1, 7000), None]
     assert each(spark, texts, "string", N.text_to_time) == want
 
 
@@ -58,7 +58,8 @@ def test_numbers(spark):
     assert each(spark, texts, "string", N.text_to_double) == [
         12.7, 12.7, None, None, None, None, None, 1000.0, -5.0, None, None]
     assert each(spark, texts, "string", N.text_to_long) == [12, 12, None, None, None, None, None, 1000, -5, None, None]
-    assert each(spark, ["9007199254740993"], "string", N.text_to_long) == [9007199254740993]
+    assert each(spark, [" 9007199254740993 ", "-12.9", "1e30", "5L", "0x10"], "string", N.text_to_long) == [
+        9007199254740993, -12, None, None, None]
     assert each(spark, [float("nan"), 1.5, None], "double", N.clear_nan) == [None, 1.5, None]
     assert each(spark, [" a ", "\t\n", None], "string", N.clean_text) == ["a", None, None]
     assert each(spark, [["1", "4", "62"], [], None], "array<string>", N.join_list) == ["1,4,62", "", None]

@@ -11,9 +11,9 @@ from ticklake import schemas as S
 
 EXCHANGE_ZONE = "Asia/Shanghai"
 _BLANKS = " \t\r\n\f\v"
-_NUMBER = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
-_INTEGER = r"^[-+]?[0-9]{1,18}$"
-_STAMP = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(\d{3})$"
+# there is no year 0
+_DAY = r"^(?!0000)\d{8}$"
+_STAMP = r"^(?!0000)(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(\d{3})$"
 
 
 def _col(c: Column | str) -> Column:
@@ -27,15 +27,21 @@ def clean_text(c: Column | str) -> Column:
     return F.nullif(F.trim(_col(c), F.lit(_BLANKS)), F.lit(""))
 
 
+# checked before a cast, because a failing try_cast costs an exception per row
+_DECIMAL = r"^\s*+[-+0-9.eE]++\s*+$"
+_WHOLE = r"^\s*+[-+0-9]++\s*+$"
+
+
 def text_to_double(c: Column | str) -> Column:
-    text = clean_text(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Decimal or scientific notation; names such as NaN and Infinity and suffixes give NULL."""
+    c = _col(c)
+    return F.when(c.rlike(_DECIMAL), c.try_cast("double"))
 
 
 def text_to_long(c: Column | str) -> Column:
     """Whole numbers exactly; decimal text is cut toward zero."""
-    text = clean_text(c)
-    return F.when(text.rlike(_INTEGER), text.try_cast("bigint")).otherwise(text_to_double(c).try_cast("bigint"))
+    c = _col(c)
+    return F.when(c.rlike(_WHOLE), c.try_cast("bigint")).otherwise(text_to_double(c).try_cast("bigint"))
 
 
 def clear_nan(c: Column | str) -> Column:
@@ -57,7 +63,7 @@ def _digits(c: Column | str) -> Column:
 def text_to_date(c: Column | str) -> Column:
     """Any text whose digits are exactly YYYYMMDD."""
     digits = _digits(c)
-    return F.when((F.length(digits) == 8) & (digits >= "00010101"), F.try_to_date(digits, "yyyyMMdd"))
+    return F.when(digits.rlike(_DAY), F.try_to_date(digits, "yyyyMMdd"))
 
 
 def int_to_date(c: Column | str) -> Column:
@@ -71,8 +77,7 @@ def text_to_time(c: Column | str) -> Column:
     """
     digits = _digits(c)
     iso = F.regexp_replace(F.rpad(digits, 17, "0"), _STAMP, "$1-$2-$3 $4:$5:$6.$7")
-    known = F.length(digits).isin(8, 12, 14, 17) & (digits >= "0001")
-    return F.when(known, iso.try_cast("timestamp_ntz"))
+    return F.when(F.length(digits).isin(8, 12, 14, 17), iso.try_cast("timestamp_ntz"))
 
 
 def instant_to_time(c: Column | str) -> Column:
