@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from ticklake import schemas as S
 from ticklake.operators import watermarks as W
 from ticklake.plans import loads, views
@@ -50,6 +50,27 @@ def test_duplicates_are_kept_at_rest_and_removed_on_read(spark, lake):
     assert {r[0] for r in lake.read("kline_daily").select("ingest_seq").distinct().collect()} == {2}
 
 
+def test_months_of_one_load_are_read_without_a_shuffle(spark, lake):
+    for load in (1, 2):
+        lake.append("kline_daily", kline(spark, (0, 1, 40), price=float(load)), load)
+    lake.append("kline_daily", kline(spark, (70,)), 3)
+
+    def read(begin, end):
+        months = lake.unique_months("kline_daily", begin, end)
+        fast = views.kline(lake.read("kline_daily"), None, begin, end, ordered=False, unique_months=months)
+        slow = views.kline(lake.read("kline_daily"), None, begin, end, ordered=False)
+        assert rows(fast) == rows(slow)
+        return months, fast
+
+    assert read(20240101, 20240331)[0] == ["202403"]
+    lake.compact("kline_daily", ["202401"])
+    months, fast = read(20240101, 20240331)
+    assert months == ["202401", "202403"] and "Exchange" in plan(fast)
+    assert "Exchange" not in plan(read(20240105, 20240131)[1])
+    lake.append("kline_daily", kline(spark, (1,), price=9.0), 4)
+    assert read(20240101, 20240131)[0] == []
+
+
 def test_compaction_leaves_other_months_alone(spark, lake):
     for load in (1, 2):
         lake.append("kline_daily", kline(spark, (0, 40)), load)

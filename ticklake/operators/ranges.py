@@ -74,10 +74,34 @@ def range_read(
     date_column: str = "trade_time",
     time_filter=None,
     order: str | Sequence[str] = INGEST_SEQ,
+    unique_months: Sequence[str] = (),
 ) -> DataFrame:
-    """All filters act on key columns, so they run before the dedup shuffle; only ``fields`` travel."""
+    """All filters act on key columns, so they run before the dedup shuffle; only ``fields`` travel.
+
+    Rows of ``unique_months`` (see ``Lake.unique_months``) hold each key once and are not shuffled
+    at all; with every month of the range among them the read is a plain scan.
+    """
     df = date_range(table, date_column, begin, end)
     if time_filter is not None:
         df = time_filter(df)
     df = only_codes(df, codes, code_column)
-    return latest_per_key(df, keys, [f for f in fields if f not in keys], order).select(*fields)
+
+    def collapse(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, keys, [f for f in fields if f not in keys], order).select(*fields)
+
+    if not unique_months:
+        return collapse(df)
+    unique = F.coalesce(F.col(MONTH).isin(list(unique_months)), F.lit(False))
+    plain = df.where(unique).select(*fields)
+    if _covers(unique_months, begin, end):
+        return plain
+    return plain.unionByName(collapse(df.where(~unique)))
+
+
+def _covers(months: Sequence[str], begin, end) -> bool:
+    """Whether the months include every month of the range."""
+    begin, end = as_date(begin), as_date(end)
+    if begin is None or end is None:
+        return False
+    wanted = {f"{y}{m:02d}" for y in range(begin.year, end.year + 1) for m in range(1, 13)}
+    return {m for m in wanted if f"{begin:%Y%m}" <= m <= f"{end:%Y%m}"} <= set(months)

@@ -220,7 +220,10 @@ class MarketLake:
         table, _ = loads.kline_table(period)
         return self._serve(
             table, lambda force: self.sync_kline(codes, begin, end, period, begin_time, end_time, force),
-            lambda: views.kline(self.lake.read(table), codes, begin, end, begin_time, end_time, ordered),
+            lambda: views.kline(
+                self.lake.read(table), codes, begin, end, begin_time, end_time, ordered,
+                unique_months=self.lake.unique_months(table, begin, end),
+            ),
         )
 
     def query_kline_minute(self, code_list, begin_date, end_date, begin_time=None, end_time=None,
@@ -233,7 +236,8 @@ class MarketLake:
         return self._serve(
             "snapshots", lambda force: self.sync_snapshot(codes, begin, end, begin_time, end_time, force),
             lambda: views.snapshot(
-                self.lake.read("market_snapshot"), codes, begin, end, begin_time, end_time, kind, ordered
+                self.lake.read("market_snapshot"), codes, begin, end, begin_time, end_time, kind, ordered,
+                unique_months=self.lake.unique_months("market_snapshot", begin, end),
             ),
         )
 

@@ -284,6 +284,15 @@ ORACLE: dict[str, str] = {
     "raw_status": "SELECT CAST(o_orderdate AS DATE) AS trade_date, CAST(o_custkey AS VARCHAR) AS market_code, o_totalprice AS preclose, "
         "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS is_st_sec, o_orderstatus AS is_susp_sec, "
         "CAST(NULL AS VARCHAR) AS is_wd_sec FROM orders",
+    "raw_calendar": _with(DIRTY) + f"SELECT 'SH' AS market, {_DAY} AS trade_date FROM dirty WHERE {_DAY} IS NOT NULL",
+    "raw_code_info": _with(INFO) + "SELECT 'EXTRA_STOCK_A' AS security_type, code, CASE WHEN p_type <> 'PROMO' THEN symbol END AS symbol, "
+        "(p_size % 17) || ',62' AS security_status_raw, pre_close, CAST(NULL AS DOUBLE) AS high_limited, CAST(NULL AS DOUBLE) AS low_limited, "
+        "CAST(NULL AS DOUBLE) AS price_tick FROM info JOIN part ON p_partkey = ingest_seq WHERE code NOT LIKE '%.BJ' OR code LIKE '920%'",
+    "raw_stock_basic": "SELECT DATE '2024-01-02' AS snapshot_date, CAST(c_custkey AS VARCHAR) AS market_code, c_name AS security_name, "
+        "CAST(NULL AS VARCHAR) AS comp_name, CAST(NULL AS VARCHAR) AS pinyin, CAST(NULL AS VARCHAR) AS comp_name_eng, "
+        "20000101 + c_nationkey AS list_date, CAST(trunc(c_acctbal) AS INTEGER) AS delist_date, CAST(NULL AS VARCHAR) AS listplate_name, "
+        "CAST(NULL AS VARCHAR) AS comp_sname_eng, 1 AS is_listed FROM customer WHERE c_acctbal >= 0",
+    "raw_factors": _with(LINE_FACTORS) + "SELECT 'backward' AS factor_type, trade_date, code, factor_value FROM line_factors",
     "scope_key": "SELECT p_partkey, 'task=get_stock_basic|code_count=' || len(string_split(p_name, ' ')) || '|codes_sha1=' || "
         "substr(sha1(array_to_string(list_sort(string_split(p_name, ' ')), ',')), 1, 12) || '|begin_date=|brand=' || p_brand || '|size=' || p_size "
         "AS scope_key FROM part",
@@ -293,7 +302,9 @@ ORACLE: dict[str, str] = {
         f"{KLINE}, CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS BIGINT) AS ingest_seq, {_MONTH}"),
     "union_old_new": _with(BARS) + _latest("bars", BAR_KEY, KLINE),
     "compact_month": _with(BARS) + _latest(
-        "bars", BAR_KEY, f"{KLINE}, CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS BIGINT) AS ingest_seq, {_MONTH}",
+        "bars", BAR_KEY, f"{KLINE}, CAST(2 AS BIGINT) AS ingest_seq, {_MONTH}", order="l_linestatus <> 'O' DESC, ingest_seq"),
+    "kline_after_compaction": _with(BARS) + _latest(
+        "bars", BAR_KEY, KLINE, "trade_time >= DATE '1996-01-01' AND code IN (SELECT CAST(p_partkey AS VARCHAR) FROM part)",
         order="l_linestatus <> 'O' DESC, ingest_seq"),
     "append_new": _with(CALENDAR) + "SELECT market, trade_date, CAST(CASE WHEN bool_or(o_orderpriority = '1-URGENT') THEN 1 ELSE 2 END AS BIGINT) "
         "AS ingest_seq, strftime(trade_date, '%Y%m') AS month FROM calendar GROUP BY market, trade_date",

@@ -374,6 +374,30 @@ def raw_status(spark, sf):
     )
 
 
+@query
+def raw_calendar(spark, sf):
+    return raw.calendar(T.dirty_text(spark, sf).select(F.col("date_text").alias("TRADE_DATE")), "SH")
+
+
+@query
+def raw_code_info(spark, sf):
+    return raw.code_info(T.raw_info(spark, sf), "EXTRA_STOCK_A")
+
+
+@query
+def raw_stock_basic(spark, sf):
+    return raw.stock_basic(T.raw_basic(spark, sf), date(2024, 1, 2))
+
+
+@query
+def raw_factors(spark, sf):
+    """A wide text drop (one column per line number) to long rows."""
+    wide = views.factor_matrix(T.line_factors(spark, sf), "adj", [str(i) for i in range(1, 8)])
+    dated = wide.withColumn("trade_date", N.date_to_int("trade_date"))
+    as_text = dated.select("trade_date", *[F.col(c).cast("string").alias(c) for c in wide.columns[1:]])
+    return raw.factors(as_text, "backward")
+
+
 @query
 def scope_key(spark, sf):
     words = F.split("p_name", " ")
@@ -418,6 +442,17 @@ def compact_month(spark, sf):
     return lake.read("kline_daily").select(*S.KLINE_FIELDS, "ingest_seq", "month")
 
 
+@query
+def kline_after_compaction(spark, sf):
+    """Two loads, all but the last months compacted: those are scanned without a shuffle."""
+    lake = _two_loads(spark, sf)
+    lake.compact("kline_daily", [f"{year}{month:02d}" for year in range(1995, 2001) for month in range(1, 13)])
+    return views.kline(
+        lake.read("kline_daily"), T.part_codes(spark, sf), BEGIN, "2001-12-31", ordered=False,
+        unique_months=lake.unique_months("kline_daily", BEGIN, "2001-12-31"),
+    )
+
+
 @query
 def append_new(spark, sf):
     """Key-only table: the second load adds just the days the first one did not have."""

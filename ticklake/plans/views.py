@@ -99,21 +99,24 @@ def factor_matrix(rows: DataFrame, factor_type: str, codes: Sequence[str], order
 
 
 def kline(rows: DataFrame, codes: Codes | None, begin, end, begin_time: int | None = None,
-          end_time: int | None = None, ordered: bool = True, order=INGEST_SEQ) -> DataFrame:
+          end_time: int | None = None, ordered: bool = True, order=INGEST_SEQ,
+          unique_months: Sequence[str] = ()) -> DataFrame:
     """Bars in one long frame keyed by (code, trade_time); dates and HHMM times are inclusive.
 
-    ``ordered=False`` saves the range shuffle when the result feeds another job.
+    ``ordered=False`` saves the range shuffle when the result feeds another job, ``unique_months``
+    (see ``Lake.unique_months``) the dedup shuffle.
     """
     got = ranges.range_read(
         rows, ["code", "trade_time"], S.KLINE_FIELDS, codes, begin, end,
         time_filter=lambda df: ranges.bar_time_of_day(df, begin_time, end_time), order=order,
+        unique_months=unique_months,
     )
     return got.orderBy("code", "trade_time") if ordered else got
 
 
 def snapshot(rows: DataFrame, codes: Codes | None, begin, end, begin_time: int | None = None,
              end_time: int | None = None, kind: str = "snapshot", ordered: bool = True,
-             order=INGEST_SEQ) -> DataFrame:
+             order=INGEST_SEQ, unique_months: Sequence[str] = ()) -> DataFrame:
     """Snapshots in the column layout of one instrument kind; times are HHMMSSmmm.
 
     Only the layout's columns are read and shuffled.
@@ -121,5 +124,6 @@ def snapshot(rows: DataFrame, codes: Codes | None, begin, end, begin_time: int |
     got = ranges.range_read(
         rows, ["code", "trade_time"], S.SNAPSHOT_LAYOUTS[kind], codes, begin, end,
         time_filter=lambda df: ranges.snapshot_time_of_day(df, begin_time, end_time), order=order,
+        unique_months=unique_months,
     )
     return got.orderBy("code", "trade_time") if ordered else got

@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators.dedup import latest_per_key, new_keys
+from ticklake.operators.ranges import as_date
 from ticklake.sources.workspace import settle
 
 
@@ -86,8 +87,8 @@ class Lake:
 
         Copies of a key inside the load collapse first (the highest ``order`` wins, else a row picked by
         a hash of its values, so that a repeated load picks the same one), then
-        every row gets the load's id. ``(key, ingest_seq)`` is therefore unique and the read-time
-        rule is exact. Tables that consist of their key only take just the keys not stored yet.
+        every row gets the load's id, by default the time in microseconds; ids must grow from load
+        to load. ``(key, ingest_seq)`` is therefore unique and the read-time rule is exact. Tables that consist of their key only take just the keys not stored yet.
         """
         spec = S.TABLES[table]
         if spec.append_only:
@@ -114,25 +115,36 @@ class Lake:
         return stored.where(F.col(S.MONTH).between(f"{lo:%Y%m}", f"{hi:%Y%m}")) if lo else stored.where("false")
 
     def compact(self, table: str, months: Sequence[str] | None = None) -> None:
-        """Rewrite ``months`` (all by default) with one row per key.
+        """Rewrite ``months`` (all by default) with one row per key, as if one load had written them.
 
         The compacted rows are settled in the shared folder first and the touched partitions are
-        replaced from that copy, so a run that dies while replacing can be repeated from it.
+        replaced from that copy, so a run that dies while replacing can be repeated from it. The
+        rows get the newest load id among them, which later loads exceed.
         """
         spec, stored = S.TABLES[table], self.read(table)
         if spec.append_only:
             raise ValueError(f"{table} is an audit log")
         if months is not None and spec.date_column:
             stored = stored.where(F.col(S.MONTH).isin(list(months)))
-        if spec.all_key:
-            kept = stored.groupBy(*spec.key).agg(F.max(S.INGEST_SEQ).alias(S.INGEST_SEQ))
-        else:
-            # the winner's own load id stays on the row
-            with_id = stored.withColumn("__seq", F.col(S.INGEST_SEQ))
-            kept = latest_per_key(with_id, spec.key, [*spec.values, "__seq"]).withColumnRenamed("__seq", S.INGEST_SEQ)
-        copy = settle(kept.select(*spec.columns, S.INGEST_SEQ), "compaction")
+        newest = stored.agg(F.max(S.INGEST_SEQ)).first()[0]
+        if newest is None:
+            return
+        kept = latest_per_key(stored, spec.key, spec.values).select(*spec.columns)
+        copy = settle(kept.withColumn(S.INGEST_SEQ, F.lit(newest).cast("bigint")), "compaction")
         self._write(table, copy, self.path(table), "overwrite")
 
+    def unique_months(self, table: str, begin=None, end=None) -> list[str]:
+        """Months in the range whose rows all come from one load, so that keys are unique there.
+
+        Reads a single column that is constant per file, a tiny part of the data, and saves the read
+        view its shuffle for every month that was loaded once or compacted since.
+        """
+        rows = self.read(table)
+        for bound, test in ((as_date(begin), Column.__ge__), (as_date(end), Column.__le__)):
+            rows = rows if bound is None else rows.where(test(F.col(S.MONTH), f"{bound:%Y%m}"))
+        loads = rows.groupBy(S.MONTH).agg(F.min(S.INGEST_SEQ).alias("lo"), F.max(S.INGEST_SEQ).alias("hi"))
+        return sorted(r[S.MONTH] for r in loads.where("lo = hi and month is not null").collect())
+
     # ------------------------------------------------------------- audit log
 
     def write_log(self, **entry) -> None:

@@ -259,4 +259,22 @@ def raw_status(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_info(spark: SparkSession, sf: str) -> DataFrame:
+    """Master data with a list of status flags and alternative names."""
+    return table(spark, sf, "part").select(
+        F.concat(F.lit(" "), F.rpad(_text("p_partkey"), 6, "0"), exchange(F.col("p_size"))).alias("CODE"),
+        F.when(F.col("p_type") != "PROMO", F.col("p_name")).otherwise("  ").alias("SYMBOL"),
+        F.array((F.col("p_size") % 17).cast("string"), F.lit("62")).alias("SECURITY_STATUS"),
+        _text("p_retailprice").alias("PRECLOSE"), F.lit("x").alias("HIGH_LIMITED"),
+    )
+
+
+def raw_basic(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").select(
+        F.when(F.col("c_acctbal") >= 0, _text("c_custkey")).alias("MARKET_CODE"), F.col("c_name").alias("SECURITY_NAME"),
+        (20000101 + F.col("c_nationkey")).cast("string").alias("LISTDATE"), F.col("c_acctbal").alias("DELISTDATE"),
+        F.lit("1.0").alias("IS_LISTED"),
+    )
+
+
 SNAPSHOT_KINDS = tuple(SNAPSHOT_LAYOUTS)
