@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ticklake.schemas import INGEST_SEQ
 
+# Beyond this, one order value per column in the aggregation buffer costs more than a sort (measured).
+MAX_HASH_VALUES = 12
 _FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
@@ -22,18 +24,19 @@ def latest_per_key(
     Both plans shrink the copies of a key on the map side, so a key that holds a third of all rows
     sends one row per input task through the shuffle:
 
-    * fixed-width values ordered by one fixed-width column: ``max_by`` per value, which runs as
-      hash aggregation with code generation. Every ``max_by`` compares the same order value, so
+    * a few fixed-width values ordered by one fixed-width column: ``max_by`` per value, which runs
+      as hash aggregation with code generation. Every ``max_by`` compares the same order value, so
       all of them pick the same row.
-    * otherwise (text values, several order columns): ``row_number() = 1``, which Catalyst turns
-      into a group limit before and after the shuffle. ``max_by`` over text would fall back to
-      sort aggregation, measured at half the speed.
+    * otherwise (text values, wide rows, several order columns): ``row_number() = 1``, which
+      Catalyst turns into a group limit before and after the shuffle. ``max_by`` over text or
+      structs would fall back to sort aggregation, the slowest of the three.
     """
     order = [order] if isinstance(order, str) else list(order)
     if not values:
         return df.select(*keys).distinct()
     types = {f.name: f.dataType for f in df.schema.fields}
-    if len(order) == 1 and all(isinstance(types[c], _FIXED_WIDTH) for c in [*values, *order]):
+    narrow = len(order) == 1 and len(values) <= MAX_HASH_VALUES
+    if narrow and all(isinstance(types[c], _FIXED_WIDTH) for c in [*values, *order]):
         return df.groupBy(*keys).agg(*[F.max_by(v, order[0]).alias(v) for v in values])
     newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     ranked = df.withColumn("__rank", F.row_number().over(newest_first))
