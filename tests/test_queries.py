@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import plan
 from oracle_check import compare, duck
+from ticklake.operators import lookup
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no sample tables")
@@ -44,3 +45,12 @@ def test_results_do_not_depend_on_the_session_zone(spark, con, name):
         assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name]) is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("name", [
+    "kline_daily_range", "snapshot_range", "stock_basic_asof", "history_stock_status", "request_order",
+    "incremental_select", "membership_daily", "codes_available", "load_kline_daily",
+])
+def test_results_beyond_the_broadcast_limit(spark, con, name, monkeypatch):
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 0)
+    assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name]) is None

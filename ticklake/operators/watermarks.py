@@ -79,7 +79,8 @@ def group_watermarks(
         return settle(latest_by_group(target, group, date_column), "watermarks")
     recent = F.col(S.MONTH) >= f"{recent_since:%Y%m}"
     found = settle(latest_by_group(target.where(recent), group, date_column), "watermarks")
-    missing = settle(lookup_join(wanted.select(*group).distinct(), found, group, "left_anti"), "watermarks")
+    asked = wanted.select(*group).distinct()
+    missing = settle(lookup_join(asked, found, group, "left_anti", found.count()), "watermarks")
     n = missing.count()
     if n == 0:
         return found

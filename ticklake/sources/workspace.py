@@ -8,15 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_own_folder: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only for local runs without one."""
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="ticklake-"))
+    return _own_folder[0]
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        # local runs only: a cluster sets spark.checkpoint.dir
-        root = tempfile.mkdtemp(prefix="ticklake-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    return f"{root.rstrip('/')}/ticklake/{purpose}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/ticklake/{purpose}/{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
