@@ -275,3 +275,12 @@ def test_stock_basic_needs_every_code(spark, lake):
     assert rows(market.get_stock_basic(["b", "a"]), "MARKET_CODE") == [("a",), ("b",)]
     common = W.common_watermark(lake.read("stock_basic"), ["a", "b"], "market_code", "snapshot_date")
     assert common.first()[0] == date(2024, 1, 2)
+
+
+def test_load_ids_grow_even_if_the_clock_is_behind(spark, lake, monkeypatch):
+    from ticklake.sources import lake as module
+
+    loads.load_kline(lake, kline(spark, range(2), price=1.0), run_date=DAY)
+    monkeypatch.setattr(module.time, "time_ns", lambda: 1000)
+    loads.load_kline(lake, kline(spark, range(2), price=9.0), run_date=DAY, force=True, lookback_days=5)
+    assert rows(lake.latest("kline_daily"), "open") == [(10.0,), (10.0,), (9.0,), (9.0,)]

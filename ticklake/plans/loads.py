@@ -6,7 +6,6 @@ one; the repeated rows carry a later load id and the read view keeps one of them
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
@@ -18,7 +17,7 @@ from ticklake.functions import normalize as N
 from ticklake.operators import watermarks as W
 from ticklake.operators.lookup import only_codes
 from ticklake.operators.ranges import as_date, bar_time_of_day, date_range, snapshot_time_of_day
-from ticklake.sources.lake import Lake
+from ticklake.sources.lake import Lake, new_load_id
 
 
 @dataclass(frozen=True)
@@ -40,6 +39,7 @@ class LogState:
     done_today: bool
     checkpoint: date | None  # last success of this task and scope
     table_date: date | None  # newest date any success brought into the table
+    last_id: int | None  # highest load id logged
 
 
 def log_state(lake: Lake, table: str, task_name: str, scope_key: str, run_date: date) -> LogState:
@@ -51,8 +51,9 @@ def log_state(lake: Lake, table: str, task_name: str, scope_key: str, run_date:
         F.count_if(same & (F.col("run_date") == F.lit(run_date))).alias("today"),
         F.max(F.when(same & day.isNotNull(), F.struct("finished_at", day.alias("day")))).alias("last"),
         F.max(F.when(ok & (F.col("target_table") == table), day)).alias("newest"),
+        F.max(S.INGEST_SEQ).alias("last_id"),
     ).first()
-    return LogState(row["today"] > 0, row["last"]["day"] if row["last"] else None, row["newest"])
+    return LogState(row["today"] > 0, row["last"]["day"] if row["last"] else None, row["newest"], row["last_id"])
 
 
 def succeeded_today(lake: Lake, task_name: str, scope_key: str, run_date: date) -> bool:
@@ -89,15 +90,16 @@ def incremental_load(
         raise ValueError("begin is after end")
     started, run_date = _now(), run_date or date.today()
 
+    state = log_state(lake, table, task_name, scope_key, run_date)
+    before, load_id = state.checkpoint, new_load_id(state.last_id)
+
     def log(status: str, rows: int = 0, first=None, last=None, message: str = "") -> LoadResult:
         lake.write_log(
-            task_name=task_name, scope_key=scope_key, run_date=run_date, status=status, target_table=table,
+            load_id, task_name=task_name, scope_key=scope_key, run_date=run_date, status=status, target_table=table,
             start_date=first, end_date=last, row_count=rows, message=message, started_at=started, finished_at=_now(),
         )
         return LoadResult(status, rows, first, last)
 
-    state = log_state(lake, table, task_name, scope_key, run_date)
-    before = state.checkpoint
     if state.done_today and not force:
         return log(S.SKIPPED, 0, before, before, f"{task_name} already succeeded on {run_date}")
     if raw is None:
@@ -109,7 +111,7 @@ def incremental_load(
                 rows, lake.read(table), spec.group, spec.date_column, begin, end, lookback_days,
                 _month_before(state.table_date),
             )
-        stats = lake.append(table, rows, time.time_ns() // 1000, order)
+        stats = lake.append(table, rows, load_id, order)
     except Exception as error:
         log(S.FAILED, 0, before, before, f"{task_name} failed: {error}"[:2000])
         raise

@@ -47,6 +47,11 @@ def _text(value: str, what: str) -> str:
     return text
 
 
+def _kind(security_type: str) -> str:
+    text = _text(security_type, "security_type")
+    return S.SECURITY_TYPE_ALIASES.get(text, text)
+
+
 def _range(begin, end) -> tuple[date | None, date | None]:
     begin, end = as_date(begin), as_date(end)
     if begin and end and begin > end:
@@ -147,7 +152,7 @@ class MarketLake:
         )
 
     def get_code_info(self, security_type: str = S.UNIVERSE_TYPES["security"]) -> DataFrame:
-        security_type = _text(security_type, "security_type")
+        security_type = _kind(security_type)
         return self._serve(
             f"code info {security_type}", lambda force: self.sync_code_info(security_type, force),
             lambda: views.code_info(self.lake.read("code_info"), security_type),
@@ -155,14 +160,14 @@ class MarketLake:
 
     def get_code_list(self, security_type: str = S.UNIVERSE_TYPES["security"], force: bool = False) -> DataFrame:
         """Universe of one security type."""
-        security_type = _text(security_type, "security_type")
+        security_type = _kind(security_type)
         return self._serve(
             f"universe {security_type}", lambda again: self.sync_code_info(security_type, force or again),
             lambda: self.get_universe_from_db(security_type),
         )
 
     def get_universe_from_db(self, security_type: str = S.UNIVERSE_TYPES["security"]) -> DataFrame:
-        return views.universe(self.lake.read("code_info"), _text(security_type, "security_type"))
+        return views.universe(self.lake.read("code_info"), _kind(security_type))
 
     def get_security_universe(self, security_type=S.UNIVERSE_TYPES["security"], force=False) -> DataFrame:
         return self.get_code_list(security_type, force)
@@ -180,7 +185,7 @@ class MarketLake:
         return self.get_code_list(security_type, force)
 
     def get_hist_code_list(self, security_type: str, start_date, end_date) -> DataFrame:
-        security_type = _text(security_type, "security_type")
+        security_type = _kind(security_type)
         begin, end = _range(start_date, end_date)
         return self._serve(
             f"members of {security_type}", lambda force: self.sync_hist_code_list(security_type, begin, end, force),

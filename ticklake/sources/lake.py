@@ -17,6 +17,11 @@ from ticklake.operators.ranges import as_date
 from ticklake.sources.workspace import settle
 
 
+def new_load_id(last: int | None = None) -> int:
+    """Microseconds now, but past ``last`` even if this machine's clock is behind."""
+    return max(time.time_ns() // 1000, (last or 0) + 1)
+
+
 @dataclass(frozen=True)
 class WriteStats:
     row_count: int
@@ -100,7 +105,7 @@ class Lake:
             fresh = latest_per_key(ranked, spec.key, spec.values, "__order")
         else:
             fresh = latest_per_key(rows, spec.key, spec.values, order)
-        stamped = fresh.select(*spec.columns, F.lit(load_id or time.time_ns() // 1000).cast("bigint").alias(S.INGEST_SEQ))
+        stamped = fresh.select(*spec.columns, F.lit(load_id or new_load_id()).cast("bigint").alias(S.INGEST_SEQ))
         seen = Observation()
         self._write(table, stamped, self.path(table), "append", seen)
         got = seen.get
@@ -147,12 +152,12 @@ class Lake:
 
     # ------------------------------------------------------------- audit log
 
-    def write_log(self, **entry) -> None:
+    def write_log(self, load_id: int | None = None, **entry) -> None:
         spec = S.TABLES["sync_task_log"]
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         entry = {"started_at": now, "finished_at": now, "row_count": 0, **entry}
         one = self.spark.createDataFrame([tuple(entry.get(c) for c in spec.columns)], spec.schema)
-        stamped = one.withColumn(S.INGEST_SEQ, F.lit(time.time_ns() // 1000))
+        stamped = one.withColumn(S.INGEST_SEQ, F.lit(load_id or new_load_id()).cast("bigint"))
         (
             stamped.withColumn(S.MONTH, N.month_key("run_date")).coalesce(1)
             .write.mode("append").partitionBy(S.MONTH).parquet(self.path("sync_task_log"))
