@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from ticklake.sources.workspace import scratch_path
 from ticklake.streaming.ticks import run_stream_bars
 

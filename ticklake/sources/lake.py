@@ -105,7 +105,8 @@ class Lake:
             fresh = latest_per_key(ranked, spec.key, spec.values, "__order")
         else:
             fresh = latest_per_key(rows, spec.key, spec.values, order)
-        stamped = fresh.select(*spec.columns, F.lit(load_id or new_load_id()).cast("bigint").alias(S.INGEST_SEQ))
+        seq = F.lit(load_id or new_load_id()).cast("bigint")
+        stamped = fresh.select(*spec.columns, seq.alias(S.INGEST_SEQ))
         seen = Observation()
         self._write(table, stamped, self.path(table), "append", seen)
         got = seen.get
