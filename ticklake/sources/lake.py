@@ -90,10 +90,11 @@ class Lake:
     ) -> WriteStats:
         """Append one load and say what was written.
 
-        Copies of a key inside the load collapse first (the highest ``order`` wins, else a row picked by
-        a hash of its values, so that a repeated load picks the same one), then
-        every row gets the load's id, by default the time in microseconds; ids must grow from load
-        to load. ``(key, ingest_seq)`` is therefore unique and the read-time rule is exact. Tables that consist of their key only take just the keys not stored yet.
+        Copies of a key inside the load collapse first: the highest ``order`` wins, else a row picked
+        by a hash of its values, so that a repeated load picks the same one. Then every row gets the
+        load's id, by default the time in microseconds; ids must grow from load to load.
+        ``(key, ingest_seq)`` is therefore unique and the read-time rule is exact. Tables that
+        consist of their key only take just the keys not stored yet.
         """
         spec = S.TABLES[table]
         if spec.append_only:
