@@ -1,7 +1,6 @@
+import os
 from types import SimpleNamespace
 
-import pytest
-
 from conftest import rows
 from ticklake.sources import workspace
 
@@ -16,9 +15,14 @@ def fake(master, conf=None, checkpoint=None):
 def test_the_cluster_names_the_folder():
     assert workspace.shared_folder(fake("yarn", conf="hdfs://x/shared/")) == "hdfs://x/shared"
     assert workspace.shared_folder(fake("yarn", checkpoint="hdfs://x/other")) == "hdfs://x/other"
-    with pytest.raises(RuntimeError):
-        workspace.shared_folder(fake("yarn"))
-    assert workspace.shared_folder(fake("local[2]")) == workspace.shared_folder(fake("local[2]"))
+
+
+def test_without_one_the_warehouse_is_shared(spark):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: "hdfs://x/warehouse/" if key == "spark.sql.warehouse.dir" else default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+    )
+    assert workspace.shared_folder(session) == "hdfs://x/warehouse/_shared"
 
 
 def test_settled_rows_are_computed_once(spark):
@@ -26,3 +30,10 @@ def test_settled_rows_are_computed_once(spark):
     assert rows(kept) == [(i,) for i in range(10)]
     assert "Range" not in kept._jdf.queryExecution().toString()
     assert workspace.scratch_path(spark, "x") != workspace.scratch_path(spark, "x")
+
+
+def test_discarded_tables_are_gone(spark):
+    kept = workspace.settle(spark.range(10))
+    assert os.path.isdir(kept.settled_at)
+    workspace.discard(kept)
+    assert not os.path.isdir(kept.settled_at)

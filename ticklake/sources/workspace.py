@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only for local runs without one."""
+    """The cluster's ``spark.checkpoint.dir``; where that is unset, a folder of the warehouse, which executors share too."""
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
-    if not _own_folder:
-        _own_folder.append(tempfile.mkdtemp(prefix="ticklake-"))
-    return _own_folder[0]
+    return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -32,4 +24,14 @@ def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
     against lost executors, and with real file sizes for the optimizer."""
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled.settled_at = path
+    return settled
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``settle`` wrote for these frames; they and all that reads them must not be used again."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.settled_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
