@@ -9,7 +9,6 @@ of the whole text. A text without such a place is encoded in one go.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticklake.llm.common import small_batches
+
 PIECE_CHARS = 1 << 16
 _SAFE = re.compile(r"\S(?=[ \n])")
 
@@ -42,52 +43,41 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode(docs: DataFrame, key: str, text: str, rank_file: str, pattern: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """(key, ids array<int>) of every row. NULL and empty texts have no ids. Rows are not joined or grouped, so repeated
-    rows and NULL keys just pass; other columns are dropped, and a column called ``ids`` is no trouble."""
-    kind = docs.schema[key].dataType
+def encode(docs: DataFrame, key: str, text: str, rank_file: str, pattern: str, packed: bool = False, piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """(key, ids) of every row: array<int>, or with ``packed`` binary of little-endian unsigned 32-bit integers.
+
+    NULL and empty texts have no ids. Rows are not joined or grouped, so repeated rows and NULL keys just pass; other
+    columns are dropped, and one called ``ids`` is no trouble.
+    """
+    key_type = docs.schema[key].dataType
 
     def run(batches):
         own = encoding(rank_file, pattern)
-        for batch in batches:
-            ids = [np.array([i for piece in pieces(x or "", piece_chars) for i in own.encode_ordinary(piece)], np.int32) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), as_lists(ids)], [key, "ids"])
+        for batch in small_batches(batches):
+            ids = [np.array([i for piece in pieces(x or "", piece_chars) for i in own.encode_ordinary(piece)], "<u4") for x in batch.column(1).to_pylist()]
+            column = pa.array([x.tobytes() for x in ids], pa.binary()) if packed else _as_lists(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], [key, "ids"])
 
-    return docs.select(key, text).mapInArrow(run, T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    ids_type = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
+    return docs.select(key, text).mapInArrow(run, T.StructType([T.StructField(key, key_type), T.StructField("ids", ids_type)]))
 
 
-def as_lists(ids: list[np.ndarray]) -> pa.Array:
+def _as_lists(ids: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
 
 
 def decode(encoded: DataFrame, key: str, ids: str, rank_file: str, pattern: str) -> DataFrame:
-    """(key, ids, decoded binary): the raw bytes of the ids, which may cut a character anywhere. NULL ids give no bytes."""
-    kind = encoded.schema[key].dataType
+    """(key, ids, decoded binary) from ids in either form: raw bytes, which may begin or end inside a character. NULL ids
+    give no bytes."""
+    rows = encoded.select(key, F.col(ids).alias("ids"))
+    packed = isinstance(rows.schema["ids"].dataType, T.BinaryType)
 
     def run(batches):
         own = encoding(rank_file, pattern)
-        for batch in batches:
-            decoded = [own.decode_bytes(x or []) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(decoded, pa.binary())], [key, "ids", "decoded"])
-
-    schema = T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
-    return encoded.select(key, F.col(ids).alias("ids")).mapInArrow(run, schema)
+        for batch in small_batches(batches):
+            lists = (np.frombuffer(x or b"", "<u4").tolist() if packed else x or [] for x in batch.column(1).to_pylist())
+            decoded = pa.array([own.decode_bytes(x) for x in lists], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [key, "ids", "decoded"])
 
-
-def digest(decoded: DataFrame, key: str) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): ids hashed as little-endian unsigned 32-bit integers."""
-    kind = decoded.schema[key].dataType
-
-    def run(batches):
-        for batch in batches:
-            lists, raw = batch.column(1), batch.column(2).fill_null(b"").to_pylist()
-            flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            ids = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(at[:-1], at[1:])]
-            texts = [hashlib.sha256(x).hexdigest() for x in raw]
-            counts = pa.array(np.diff(at).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.string()), pa.array(texts, pa.string())], names)
-
-    names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
-    kinds = [kind, T.LongType(), T.StringType(), T.StringType()]
-    return decoded.select(key, "ids", "decoded").mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))

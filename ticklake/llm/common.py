@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.sources.workspace import discard, settle
 
-__all__ = ["attach", "discard", "read_table", "settle"]
+__all__ = ["attach", "discard", "read_table", "settle", "small_batches"]
+
+#: what a Python worker handles at a time; a longer text comes alone
+BATCH_BYTES = 1 << 20
 
 #: Keys that a heavy-key join broadcasts at most.
 HEAVY_KEYS = 2000
@@ -32,3 +36,11 @@ def attach(rows: DataFrame, lookup: DataFrame, on: Sequence[str], count: str) ->
     light = lookup.where(F.col(count) <= bound)
     keys = list(on)
     return rows.join(heavy, keys).unionByName(rows.join(heavy, keys, "left_anti").join(light.hint("shuffle_merge"), keys))
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes, so that Python objects of one batch stay few."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * limit / max(batch.nbytes, 1)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import byte_bpe, line_dedup, mixing, token_counts
+from ticklake.llm import byte_bpe, line_dedup, mixing, token_counts, toxicity
 from ticklake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+    scored = toxicity.score(docs, "text", weights, "score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return cleaned.select("doc_id", "line_stats.*", F.sha2("text", 256).alias("kept_sha256"))
@@ -32,8 +39,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     rules = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text", *rules)
-    return byte_bpe.digest(byte_bpe.decode(encoded, "doc_id", "ids", *rules), "doc_id")
+    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text", *rules, packed=True)
+    decoded = byte_bpe.decode(encoded, "doc_id", "ids", *rules)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return decoded.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +55,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, "doc_id", "source", mixing.count_words(F.col("text")), mixing.letter_share(F.col("text")), MIX_WEIGHTS)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_line_dedup, op5_byte_bpe, op6_token_counts, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op10_mixing)}
 
 ORACLE: dict[str, str] = {}

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ticklake.llm.common import small_batches
+
 HUGE_CHARS = 1 << 17
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 256
@@ -80,7 +82,7 @@ def count_tokens(docs: DataFrame, key: str, text: str, model_path: str, huge_cha
 
     def run(batches):
         own, proven = model(model_path)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             huge = {i for i, x in enumerate(texts) if proven and len(x) > huge_chars}
             counts = np.zeros(len(texts), np.int64)

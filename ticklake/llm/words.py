@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 SPACE = "\\x20\\x09-\\x0D"  # body of a regular-expression class
-_SPACES = np.zeros(256, bool)
-_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTE_BASE = 0x9E3779B97F4A7C15
@@ -68,11 +68,11 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and the index of each row's first word (one entry more than rows)."""
+def spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words (runs of bytes not in ``between``), and the index of each row's first word (one entry more than rows)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACES[data]
+    inside = ~between[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
