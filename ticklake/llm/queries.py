@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import byte_bpe, line_dedup, mixing, token_counts, toxicity
+from ticklake.llm import byte_bpe, line_dedup, minhash_dedup, mixing, token_counts, toxicity
 from ticklake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_copies(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = toxicity.train(docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
@@ -55,6 +59,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, "doc_id", "source", mixing.count_words(F.col("text")), mixing.letter_share(F.col("text")), MIX_WEIGHTS)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_minhash_dedup, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op10_mixing)}
 
 ORACLE: dict[str, str] = {}
