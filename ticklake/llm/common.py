@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.sources.workspace import discard, settle
 
-__all__ = ["attach", "discard", "read_table", "settle", "small_batches"]
+__all__ = ["attach", "discard", "read_table", "settle", "small_batches", "sorted_groups"]
 
 #: what a Python worker handles at a time; a longer text comes alone
 BATCH_BYTES = 1 << 20
@@ -44,3 +45,21 @@ def small_batches(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) -
         step = max(1, int(batch.num_rows * limit / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+
+
+def sorted_groups(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Runs of rows with equal first ``n_keys`` columns (not NULL) from batches that are sorted by them; one group is held at a time."""
+    rest: list[pa.RecordBatch] = []
+    for batch in small_batches(batches, 4 << 20):
+        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)]
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        if rest and any(rest[-1].column(i)[-1].as_py() != batch.column(i)[0].as_py() for i in range(n_keys)):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            rest.append(batch.slice(start, end - start))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(rest)
+                rest = []
+    if rest:
+        yield pa.Table.from_batches(rest)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.llm import words
-from ticklake.llm.common import attach, discard, settle, small_batches
+from ticklake.llm.common import attach, discard, settle, small_batches, sorted_groups
 from ticklake.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -125,27 +125,9 @@ def _keep(pairs: DataFrame, test) -> DataFrame:
     return pairs.where(F.arrow_udf(test, T.BooleanType())("hub_value", "value")).select("hub", "id", "members")
 
 
-def _groups(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
-    """Runs of rows with equal first ``n_keys`` columns from sorted batches."""
-    rest: list[pa.RecordBatch] = []
-    for batch in small_batches(batches, 4 << 20):
-        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)]
-        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-        if rest and any(rest[-1].column(i)[-1].as_py() != batch.column(i)[0].as_py() for i in range(n_keys)):
-            yield pa.Table.from_batches(rest)
-            rest = []
-        for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-            rest.append(batch.slice(start, end - start))
-            if end < batch.num_rows:
-                yield pa.Table.from_batches(rest)
-                rest = []
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
 def _block_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between components inside the blocks of a bucket: a spanning forest of them."""
-    for group in _groups(batches, 3):
+    for group in sorted_groups(batches, 3):
         ids, components, block = (group[c].to_numpy() for c in ("id", "component", "block"))
         low, high, key = group["low"][0].as_py(), group["high"][0].as_py(), group["key"][0].as_py()
         bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import byte_bpe, line_dedup, minhash_dedup, mixing, token_counts, toxicity
+from ticklake.llm import byte_bpe, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from ticklake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,11 +54,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reduced = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), "doc_id", "text", digest=True)
+    return reduced.withColumnRenamed("kept", "kept_sha256")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix(docs, "doc_id", "source", mixing.count_words(F.col("text")), mixing.letter_share(F.col("text")), MIX_WEIGHTS)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_minhash_dedup, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_minhash_dedup, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op7_substring_dedup, op10_mixing)}
 
 ORACLE: dict[str, str] = {}
