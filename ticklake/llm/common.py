@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ticklake.sources.workspace import discard, settle
 
-__all__ = ["attach", "discard", "read_table", "settle", "small_batches", "sorted_groups"]
+__all__ = ["attach", "discard", "in_blocks", "read_table", "settle", "small_batches", "sorted_groups"]
 
 #: what a Python worker handles at a time; a longer text comes alone
 BATCH_BYTES = 1 << 20
@@ -39,6 +39,17 @@ def attach(rows: DataFrame, lookup: DataFrame, on: Sequence[str], count: str) ->
     return rows.join(heavy, keys).unionByName(rows.join(heavy, keys, "left_anti").join(light.hint("shuffle_merge"), keys))
 
 
+def in_blocks(rows: DataFrame, count: str, member: str, size: int) -> DataFrame:
+    """``rows`` of groups with ``count`` members, dealt out so that any two members of a group meet in one part of it.
+
+    Adds ``block``, the member's block of about ``size``, and ``low`` and ``high``, the two blocks of a part; a group up to ``size``
+    is one part. Pairs inside a block are due where low = high, pairs of two blocks where low < high.
+    """
+    blocks = F.ceil(F.col(count) / size)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64(member), blocks)).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other")).drop("_other")
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes, so that Python objects of one batch stay few."""
     for batch in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.llm import words
-from ticklake.llm.common import attach, discard, settle, small_batches, sorted_groups
+from ticklake.llm.common import attach, discard, in_blocks, settle, small_batches, sorted_groups
 from ticklake.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -196,9 +196,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     open_keys = open_rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last")).where("first != last")
     open_keys = settle(open_keys.select("key", "n"), "open_buckets")
     split = attach(open_rows, open_keys, ["key"], "n")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    split = split.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    split = split.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "component")
+    split = in_blocks(split, "n", "id", BLOCK).select("key", "low", "high", "block", "id", "component")
     split = split.join(reps.select("id", "bands", "signature"), "id").join(sets, "id").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     columns = ["key", "low", "high", "block", "id", "component", "bands", "signature", "shingles"]
     more = settle(split.select(*columns).mapInArrow(_block_links, "hub long, id long"), "more_links")

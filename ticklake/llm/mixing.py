@@ -56,19 +56,20 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_epochs: int)
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, key: str, source: str, size: Column, quality: Column, weights: Sequence[float], max_epochs: int = MAX_EPOCHS, seed: int = 0, slices: int = SLICES) -> DataFrame:
+def mix(docs: DataFrame, key: str, source: str, size: Column, quality: Column, weights: Sequence[float], max_epochs: int = MAX_EPOCHS, seed: int = 0, slices: int = SLICES, keep_rows: bool = False) -> DataFrame:
     """(key, size, source_size, target, taken): the words the mix takes of each document, repeats counted.
 
     One row per row of ``docs``, repeated rows and NULL keys included: rows with the same key stand side by side in the sampling
     order (ties: by size; rows that agree in that too are interchangeable). ``taken`` is a whole multiple of the
     size. The cut comes as near to the budget as the document at it allows. A NULL quality counts as the lowest, 1e-6; sizes of 0
-    take nothing. Only these columns are used, so others may have any names.
+    take nothing. Only these columns are used, so others may have any names; ``keep_rows`` adds ``row``, a struct of them all.
 
     Skew: a source may hold any share of the rows. Sizes are summed per slice of the sampling order before the
     shuffle; whole slices below the cut are taken without sorting, and one slice per source is sorted.
     """
     arrival = -F.log(uniform(F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")))) / F.greatest(F.coalesce(quality.cast("double"), F.lit(1e-6)), F.lit(1e-6))
-    rows = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.cast("long").alias("size"), arrival.alias("arrival"))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_rows else []
+    rows = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.cast("long").alias("size"), arrival.alias("arrival"), *carried)
     # a slice is a step of the unit exponential's distribution function: even when qualities are alike, and in order always
     rows = settle(rows.withColumn("slice", F.least(F.lit(slices - 1), F.floor((1 - F.exp(-F.col("arrival"))) * slices)).cast("int")), "mix")
     by_slice = settle(rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), "mix_slices")
@@ -91,4 +92,5 @@ def mix(docs: DataFrame, key: str, source: str, size: Column, quality: Column, w
     cut = known.where(at_cut).withColumn("more", (upto + F.col("size") / 2 <= F.col("rest")).cast("int"))
     whole = known.where(~at_cut).withColumn("more", (F.col("slice") <= F.coalesce("last_in", F.lit(-1))).cast("int"))
     mixed = whole.unionByName(cut)
-    return mixed.select(F.col("id").alias(key), "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more"))).alias("taken"))
+    taken = (F.col("size") * (F.col("epochs") + F.col("more"))).alias("taken")
+    return mixed.select(F.col("id").alias(key), "size", "source_size", "target", taken, *(["row"] if keep_rows else []))

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import byte_bpe, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from ticklake.llm import ball_tree, byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
 from ticklake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKEN_LIMIT = 4096
+LINE_DOCS = 10
 MIX_WEIGHTS = (5, 2, 1)
 
 
@@ -23,10 +24,21 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def bpe_rules() -> tuple[str, str]:
+    """Rank file and split pattern of the byte-level BPE."""
+    import public_tokenizers
+
+    return vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_copies(read_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op2_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", every=20, k=20, scale=64.0)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = toxicity.train(docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
@@ -35,16 +47,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    cleaned = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=LINE_DOCS, min_chars=1)
     return cleaned.select("doc_id", "line_stats.*", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    rules = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text", *rules, packed=True)
-    decoded = byte_bpe.decode(encoded, "doc_id", "ids", *rules)
+    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text", *bpe_rules(), packed=True)
+    decoded = byte_bpe.decode(encoded, "doc_id", "ids", *bpe_rules())
     n_tokens = (F.octet_length("ids") / 4).cast("long")
     return decoded.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -59,11 +68,19 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.withColumnRenamed("kept", "kept_sha256")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix(docs, "doc_id", "source", mixing.count_words(F.col("text")), mixing.letter_share(F.col("text")), MIX_WEIGHTS)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_minhash_dedup, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op7_substring_dedup, op10_mixing)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (
+        op1_minhash_dedup, op2_ball_tree, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op7_substring_dedup,
+        op9_embedding_dedup, op10_mixing)
+}
 
 ORACLE: dict[str, str] = {}

@@ -39,7 +39,7 @@ def features(column: pa.Array):
 
     Features of pairs are odd numbers, those of single words even ones."""
     lowered = pc.utf8_lower(column.fill_null("").cast(pa.large_string()))
-    for first, end, data, offsets in words.chunks(lowered):
+    for first, end, data, offsets in words.chunks(lowered, 1 << 20):
         starts, ends, at = words.spans(data, offsets, _BETWEEN)
         hashed = words.word_hashes(data, starts, ends, lower=False)
         row = np.repeat(np.arange(first, end), np.diff(at))
@@ -50,7 +50,7 @@ def features(column: pa.Array):
             pair = words.mix(hashed[:-gap] * np.uint64(2 * gap + 1) + hashed[gap:] * np.uint64(0x9FB21C651E98DF25))
             found.append((pair[same] >> two) | one)
             rows.append(row[:-gap][same])
-        yield np.concatenate(rows), np.concatenate(found).astype(np.int64)
+        yield np.concatenate(rows), np.concatenate(found).astype(np.int32)
 
 
 @dataclass
@@ -84,14 +84,14 @@ def sigmoid(x):
 
 def _train_shard(shard: pd.DataFrame) -> pd.DataFrame:
     shard = shard.sort_values("order", kind="stable")
-    examples = [np.zeros(0, np.int64)] * len(shard)
+    examples = [np.zeros(0, np.int32)] * len(shard)
     for rows, found in features(pa.array(shard["text"], pa.string(), from_pandas=True)):
         order = np.argsort(rows, kind="stable")
         own, begins = np.unique(rows[order], return_index=True)
         for row, part in zip(own, np.split(found[order], begins[1:])):
             examples[row] = part
     labels, model = shard["label"].to_numpy(float), Ftrl()
-    examples = [np.append(np.unique(x), 1 << BITS) for x in examples]
+    examples = [np.append(np.unique(x), np.int32(1 << BITS)) for x in examples]
     for _ in range(EPOCHS):
         for at, label in zip(examples, labels):
             model.learn(at, label)
@@ -134,7 +134,7 @@ def score_array(column: pa.Array, weights: dict[int, float]) -> np.ndarray:
     total = np.full(len(column), weights.get(1 << BITS, 0.0))
     for rows, found in features(column):
         hit = dense[found] != 0
-        pairs = np.unique((rows[hit] << BITS) | found[hit])  # a feature counts once per text
+        pairs = np.unique(rows[hit].astype(np.int64) << BITS | found[hit])  # a feature counts once per text
         total += np.bincount(pairs >> BITS, weights=dense[pairs & ((1 << BITS) - 1)], minlength=len(total))
     return sigmoid(total)
 
