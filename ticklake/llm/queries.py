@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import ball_tree, byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, toxicity
+from ticklake.llm import ball_tree, byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, token_files, toxicity
 from ticklake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKEN_LIMIT = 4096
 LINE_DOCS = 10
+END_ID = 1
 MIX_WEIGHTS = (5, 2, 1)
 
 
@@ -68,6 +69,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.withColumnRenamed("kept", "kept_sha256")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    stored = token_files.stored_ids(docs, "doc_id", "text", vocabulary("word_bpe_49k.json"), END_ID)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return stored.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
 
@@ -80,7 +88,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_ball_tree, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op7_substring_dedup,
-        op9_embedding_dedup, op10_mixing)
+        op8_token_files, op9_embedding_dedup, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
