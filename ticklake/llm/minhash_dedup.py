@@ -200,7 +200,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     split = split.join(reps.select("id", "bands", "signature"), "id").join(sets, "id").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     columns = ["key", "low", "high", "block", "id", "component", "bands", "signature", "shingles"]
     more = settle(split.select(*columns).mapInArrow(_block_links, "hub long, id long"), "more_links")
-    final = connected_components(links.unionByName(more), "hub", "id")
+    final = connected_components(found.select(F.col("component").alias("hub"), F.col("node").alias("id")).unionByName(more), "hub", "id")
 
     component = F.coalesce("component", "rep")
     labelled = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "copies", component.alias("component"))
