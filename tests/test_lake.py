@@ -97,17 +97,72 @@ def test_copies_inside_one_load(spark, lake):
     assert sorted({r[2] for r in stored(lake)}) == [5.0, 6.0]
 
 
-def test_hot_month_is_written_by_several_tasks(spark, lake):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+def test_files_of_a_month_hold_disjoint_codes(spark, lake):
+    """A hot code stands in several files, the others in one each (but at file edges)."""
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    for size in sizes:
+        spark.conf.set(size, "64k")
     try:
         days = spark.range(0, 60000, numPartitions=8).select(
             F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id % 43000, 0)").alias("trade_time"),
-            (F.col("id") % 900).cast("string").alias("code"), F.rand(1).alias("open"))
+            F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 900).cast("string")).alias("code"), F.rand(1).alias("open"))
         lake.append("kline_minute", raw.normalize(days, "kline_minute"))
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = [f for f in os.listdir(lake.path("kline_minute") + "/month=202401") if f.endswith(".parquet")]
-    assert len(files) > 1
+        for size in sizes:
+            spark.conf.unset(size)
+    files = lake.read("kline_minute").groupBy(F.input_file_name().alias("f")).agg(
+        F.min("code").alias("lo"), F.max("code").alias("hi"), F.max(F.col("code") == "hot").alias("hot")).orderBy("lo", "hi").collect()
+    assert len(files) > 2 and sum(r["hot"] for r in files) > 1
+    assert all(a["hi"] <= b["lo"] for a, b in zip(files, files[1:]))
+
+
+def test_a_write_that_dies_changes_nothing(spark, lake, monkeypatch):
+    """Compaction fails after its files are written: the old rows stay, the repeat succeeds."""
+    from ticklake.sources.manifest import Manifest
+
+    info = lambda name: raw.normalize(spark.createDataFrame([("SH_A", "a", name)], "security_type string, code string, symbol string"), "code_info")
+    for load in (1, 2):
+        lake.append("code_info", info(str(load)), load)
+        lake.append("kline_daily", kline(spark, (0, 40), price=float(load)), load)
+    before = {t: rows(lake.read(t)) for t in ("code_info", "kline_daily")}
+
+    def broken(self, entries):
+        raise OSError("no space")
+
+    opened = lake.read("kline_daily")
+    with monkeypatch.context() as patch:
+        patch.setattr(Manifest, "switch", broken)
+        for table in before:
+            with pytest.raises(OSError):
+                lake.compact(table)
+            with pytest.raises(OSError):
+                lake.append(table, info("9") if table == "code_info" else kline(spark, (0,)), 9)
+    assert {t: rows(lake.read(t)) for t in before} == before
+    for table in before:
+        assert lake.vacuum(table)
+        lake.compact(table)
+    assert rows(lake.read("code_info"), "symbol", "ingest_seq") == [("2", 2)]
+    assert rows(opened) == before["kline_daily"]  # a reader keeps what it opened
+    assert lake.read("kline_daily").count() == 4 and lake.compact("kline_daily") == []
+
+
+def test_order_decides_inside_a_load(spark, lake):
+    """NULL orders are lowest, NaN highest; among equals the larger values win, in whatever order they come."""
+    data = [("a", 1.0, None), ("a", 2.0, 0), ("b", 5.0, None), ("b", 4.0, None), ("c", 1.0, 7), ("c", None, 7)]
+    for i, part in enumerate((data, data[::-1])):
+        drop = spark.createDataFrame([(datetime(2024, 1 + i, 1), *r) for r in part], "trade_time timestamp_ntz, code string, open double, o int")
+        lake.append("kline_daily", raw.normalize(drop, "kline_daily", keep=["o"]), i + 1, "o")
+        got = lake.read("kline_daily").where(F.col("ingest_seq") == i + 1)
+        assert rows(got, "code", "open") == [("a", 2.0), ("b", 5.0), ("c", 1.0)]
+
+
+def test_both_dedup_plans_agree_on_null_orders(spark):
+    from ticklake.operators.dedup import latest_per_key
+
+    data = spark.createDataFrame([("a", 1.0, "x", None), ("a", 2.0, "y", -5), ("b", 3.0, "z", None)], "k string, v double, t string, o bigint")
+    narrow, wide = latest_per_key(data, ["k"], ["v"], "o"), latest_per_key(data, ["k"], ["v", "t"], "o")
+    assert "max_by" in plan(narrow) and "max_by" not in plan(wide)
+    assert rows(narrow) == rows(wide, "k", "v") == [("a", 2.0), ("b", 3.0)]
 
 
 # ----------------------------------------------------------------- loads
@@ -171,7 +226,7 @@ def test_empty_fetch_is_a_success_with_no_rows(spark, lake):
     got = loads.load_kline(lake, kline(spark, range(1)).limit(0), run_date=DAY)
     assert (got.status, got.row_count) == ("success", 0)
     assert W.succeeded_on(lake.read("sync_task_log")).first()["rows_loaded"] == 0
-    assert loads.succeeded_today(lake, "query_kline", "task=query_kline|begin_date=|end_date=|begin_time=|end_time=", DAY)
+    assert loads.succeeded_today(lake, "query_kline", "task=query_kline|begin_date=|end_date=", DAY)
 
 
 def test_run_that_died_before_its_log_row(spark, lake):
@@ -253,6 +308,54 @@ def test_front_door(spark, lake):
     assert market.checkpoints().where("status = 'success'").count() >= 8
 
 
+def test_frames_of_codes_at_the_front_door(spark, lake):
+    """A universe is a request: trimmed, with a scope of its own, the same for the same codes in any order."""
+    drops = Drops(spark)
+    market = MarketLake(lake, drops)
+    frame = lambda *codes: spark.createDataFrame([(c,) for c in codes], "code string")
+    assert market.query_kline(frame(" a "), 20240101, 20240131).count() == 1
+    assert market.query_kline(frame("b", " ", "b"), 20240101, 20240131).count() == 1
+    assert market.query_kline(frame("b"), 20240101, 20240131).count() == 1
+    assert market.query_kline(["a", "b"], 20240101, 20240131).count() == 2
+    assert drops.opened.count("kline") == 3
+    assert loads.codes_mark(frame("x", "y")) == loads.codes_mark(frame(" y", "x", "x")) != loads.codes_mark(frame("x"))
+    assert market.get_backward_factor(frame("b", "a")).columns == ["trade_date", "a", "b"]
+    assert rows(market.get_stock_basic(frame("b", "a").withColumnRenamed("code", "market_code")), "MARKET_CODE") == [("a",), ("b",)]
+    assert market.get_history_stock_status(frame("b"), 20240101, 20240131).count() == 2
+    with pytest.raises(ValueError):
+        market.query_kline(spark.createDataFrame([(1, 2)], "x int, y int"), 20240101, 20240131)
+    with pytest.raises(TypeError):
+        market.query_kline(7, 20240101, 20240131)
+
+
+def test_codes_and_months_reach_the_scan(spark, lake):
+    drops = Drops(spark)
+    for day in (2, 3):
+        loads.load_stock_basic(lake, drops.stock_basic(date(2024, day, 5)), run_date=date(2024, day, 5))
+    loads.load_status(lake, drops.status(), run_date=DAY)
+    basic, status = lake.read("stock_basic"), lake.read("history_stock_status")
+    for text in (plan(W.common_watermark(basic, ["a"], "market_code", "snapshot_date")), plan(views.stock_basic(basic, ["a"])),
+                 plan(views.stock_status(status, ["a"], 20240101, 20240131))):
+        assert "EqualTo(market_code,a)" in text
+    assert "(month" in plan(views.stock_basic(basic, ["a"])).split("PartitionFilters")[1].split("]")[0]
+    assert "Exchange" not in plan(views.stock_status(status, ["a"], ordered=False)).split("Window")[0].split("Sort")[0]
+
+
+def test_rows_that_a_load_leaves_out_are_counted(spark, lake):
+    drop = spark.createDataFrame([("a", "20240102"), (None, "20240102"), ("b", "junk")], "code string, trade_date string")
+    got = loads.load_kline(lake, raw.normalize(drop, "kline_daily"), run_date=DAY)
+    assert (got.row_count, got.reject_count) == (1, 2)
+    assert rows(lake.read("sync_task_log"), "row_count", "reject_count") == [(1, 2)]
+
+
+def test_the_log_can_be_rewritten(spark, lake):
+    for i in range(3):
+        loads.load_kline(lake, kline(spark, range(i + 1)), run_date=DAY, force=True)
+    before = rows(lake.read("sync_task_log"))
+    assert lake.compact("sync_task_log") == ["202402"] and lake.vacuum("sync_task_log")
+    assert rows(lake.read("sync_task_log")) == before and len(lake.manifest("sync_task_log").entries()) == 1
+
+
 def test_front_door_without_source_and_with_bad_arguments(spark, lake):
     market = MarketLake(lake)
     assert market.query_kline(["a"], 20240101, 20240131).count() == 0

@@ -63,7 +63,7 @@ def test_salted_join_equals_broadcast_join_on_a_hot_code(spark, how):
         F.lit(7).alias("copy"),
     )
     small = frame(spark, [("hot", 1), ("4", 2), ("zz", 3)], "code string, pos int")
-    joined = [lookup.lookup_join(big, small, ["code"], how, max_broadcast_rows=n) for n in (10, 0)]
+    joined = [lookup.lookup_join(big, small, ["code"], how, max_broadcast_bytes=n) for n in (1 << 20, 0)]
     assert "__salt" in plan(joined[1]) and "__salt" not in plan(joined[0])
     assert "BroadcastHashJoin" in plan(joined[0])
     assert rows(joined[0]) == rows(joined[1])
@@ -167,7 +167,7 @@ def log_frame(spark, *items):
     t0 = datetime(2024, 1, 1)
     return frame(
         spark,
-        [("t", "s", D(2024, 1, 2), status, "kline_daily", first, last, n, None, t0 + timedelta(hours=i), t0 + timedelta(hours=i))
+        [("t", "s", D(2024, 1, 2), status, "kline_daily", first, last, n, 0, None, t0 + timedelta(hours=i), t0 + timedelta(hours=i))
          for i, (status, first, last, n) in enumerate(items)],
         S.TABLES["sync_task_log"].schema,
     )

@@ -55,5 +55,5 @@ def test_results_do_not_depend_on_the_session_zone(spark, con, name):
     "incremental_select", "membership_daily", "codes_available", "load_kline_daily",
 ])
 def test_results_beyond_the_broadcast_limit(spark, con, name, monkeypatch):
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 0)
     assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name]) is None

@@ -165,6 +165,10 @@ def typed(c: Column | str, source: T.DataType, target: T.DataType) -> Column:
         if isinstance(source, T.FractionalType) and not isinstance(source, T.DecimalType):
             return F.when(~F.isnan(c), c).cast("string")
         return clean_text(c.cast("string"))
+    if isinstance(source, T.FractionalType) and isinstance(target, (T.DateType, T.TimestampNTZType)):
+        # whole numbers that gaps in a frame have turned into doubles
+        whole = c.cast("double")
+        c, source = F.when(whole == F.floor(whole), whole.try_cast("bigint")), T.LongType()
     if isinstance(target, T.DateType):
         if textual:
             return text_to_date(c)
@@ -223,10 +227,13 @@ def scope_key(prefix: Column, codes: Column | str, *fields: tuple[str, Column |
     return F.concat_ws("|", *parts)
 
 
-def scope_text(prefix: str, codes: Sequence[str] | None = None, **fields: object) -> str:
-    """Driver-side twin of :func:`scope_key` for the request of one load."""
+def scope_text(prefix: str, codes: Sequence[str] | tuple[int, str] | None = None, **fields: object) -> str:
+    """Driver-side twin of :func:`scope_key` for the request of one load; ``codes`` may be the number and digest of a
+    frame's codes. Without codes the scope is that of all of them."""
     parts = [prefix] if prefix else []
-    if codes is not None:
+    if isinstance(codes, tuple):
+        parts += [f"code_count={codes[0]}", f"codes_hash={codes[1]}"]
+    elif codes is not None:
         digest = hashlib.sha1(",".join(sorted(codes)).encode()).hexdigest()[:12]
         parts += [f"code_count={len(codes)}", f"codes_sha1={digest}"]
     parts += [f"{k}={'' if v is None else v}" for k, v in fields.items()]

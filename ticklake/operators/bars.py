@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ticklake.operators.dedup import latest_per_key
 
 _MINUTES = {"min1": 1, "min3": 3, "min5": 5, "min10": 10, "min15": 15, "min30": 30, "min60": 60, "min120": 120}
 _CALENDAR = {"week": "week", "month": "month", "season": "quarter", "year": "year"}
@@ -37,8 +41,32 @@ def kline_resample(bars: DataFrame, period: str) -> DataFrame:
     ).withColumnRenamed("period_start", "trade_time")
 
 
-def ticks_to_bars(ticks: DataFrame, minutes: int = 1, column: str = "trade_time") -> DataFrame:
-    """Snapshots to bars; works on batch and streaming frames alike."""
+_TICK = ("last", "volume", "amount")
+
+
+def one_per_instant(ticks: DataFrame, order: Sequence[str] = (), column: str = "trade_time") -> DataFrame:
+    """(code, time, last, volume, amount): of several ticks of a code at one instant the last by ``order``, as in every
+    read (NULL is lowest; among equals the larger values), so a repeated or corrected tick counts once."""
+    by = [*order, *[c for c in _TICK if c not in order]]
+    return latest_per_key(ticks, ["code", column], _TICK, by)
+
+
+def ticks_to_bars(ticks: DataFrame, minutes: int = 1, column: str = "trade_time", order: Sequence[str] = ()) -> DataFrame:
+    """Ticks to bars, copies collapsed first; ``volume`` and ``amount`` are what was traded in a tick, not running totals
+    of the day (see ``per_tick``)."""
+    return bars_of_ticks(one_per_instant(ticks, order, column), minutes, column)
+
+
+def per_tick(ticks: DataFrame, order: Sequence[str] = (), column: str = "trade_time") -> DataFrame:
+    """Ticks whose ``volume`` and ``amount`` are running totals of the day, as level-1 feeds give them, to what was traded
+    since the code's tick before on that day; copies collapse first. A code and day is one group."""
+    day = Window.partitionBy("code", F.col(column).cast("date")).orderBy(column)
+    once = one_per_instant(ticks, order, column)
+    return once.select("code", column, "last", *[(F.col(c) - F.coalesce(F.lag(c).over(day), F.lit(0.0))).alias(c) for c in _TICK[1:]])
+
+
+def bars_of_ticks(ticks: DataFrame, minutes: int, column: str = "trade_time") -> DataFrame:
+    """Ticks without copies to bars; works on batch and streaming frames alike."""
     return ticks.groupBy("code", F.window(column, f"{minutes} minutes").alias("w")).agg(
         F.min_by("last", column).alias("open"),
         F.max("last").alias("high"),

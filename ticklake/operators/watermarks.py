@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators.dedup import latest_per_key
-from ticklake.operators.lookup import codes_frame, lookup_join
+from ticklake.operators.lookup import codes_frame, lookup_bytes, lookup_join, only_clean, only_codes
 from ticklake.operators.ranges import date_range
 from ticklake.sources.workspace import settle
 
@@ -30,23 +30,20 @@ def latest_or_today(table: DataFrame, date_column: str = "trade_date", alias: st
     return table.agg(F.coalesce(F.max(date_column).cast("date"), F.current_date()).alias(alias))
 
 
-def _requested(table: DataFrame, codes: Sequence[str] | DataFrame, column: str) -> DataFrame:
-    if not isinstance(codes, DataFrame):
-        codes = codes_frame(table.sparkSession, codes, column)
-    return codes.select(column).distinct()
+def _per_code(table: DataFrame, codes: Sequence[str] | DataFrame, column: str, date_column: str) -> DataFrame:
+    """Every requested code with its latest date. The codes reach the scan: as an IN list, or as a range and a join."""
+    spark = table.sparkSession
+    asked = settle(only_clean(codes, column), "lookups") if isinstance(codes, DataFrame) else codes_frame(spark, codes, column).select(column)
+    chosen = only_codes(table, asked if isinstance(codes, DataFrame) else codes, column)
+    return asked.join(latest_by_group(chosen, [column], date_column), column, "left")
 
 
 def latest_date_map(
     table: DataFrame, codes: Sequence[str] | DataFrame, code_column: str = "code", date_column: str = "trade_time"
 ) -> DataFrame:
-    """Every requested code with its latest date; NULL without history or with a date before 1990.
-
-    The table is aggregated before it meets the codes, so no code list has to reach the scan side.
-    """
-    latest = latest_by_group(table, [code_column], date_column)
-    return _requested(table, codes, code_column).join(latest, code_column, "left").select(
-        code_column, N.valid_watermark("latest_date").alias("latest_date")
-    )
+    """Every requested code with its latest date; NULL without history or with a date before 1990."""
+    per_code = _per_code(table, codes, code_column, date_column)
+    return per_code.select(code_column, N.valid_watermark("latest_date").alias("latest_date"))
 
 
 def common_watermark(
@@ -57,8 +54,7 @@ def common_watermark(
     alias: str = "common_date",
 ) -> DataFrame:
     """Earliest of the codes' latest dates; NULL unless every requested code has history."""
-    latest = latest_by_group(table, [code_column], date_column)
-    per_code = _requested(table, codes, code_column).join(latest, code_column, "left")
+    per_code = _per_code(table, codes, code_column, date_column)
     return per_code.agg(
         F.when(F.count("latest_date") == F.count(F.lit(1)), F.min("latest_date")).alias(alias)
     )
@@ -80,11 +76,11 @@ def group_watermarks(
     recent = F.col(S.MONTH) >= f"{recent_since:%Y%m}"
     found = settle(latest_by_group(target.where(recent), group, date_column), "watermarks")
     asked = wanted.select(*group).distinct()
-    missing = settle(lookup_join(asked, found, group, "left_anti", found.count()), "watermarks")
-    n = missing.count()
-    if n == 0:
+    missing = settle(lookup_join(asked, found, group, "left_anti", lookup_bytes(found)), "watermarks")
+    size = lookup_bytes(missing)
+    if size == 0:
         return found
-    older = lookup_join(target.where(~recent | F.col(S.MONTH).isNull()), missing, group, "left_semi", n)
+    older = lookup_join(target.where(~recent | F.col(S.MONTH).isNull()), missing, group, "left_semi", size)
     return found.unionByName(settle(latest_by_group(older, group, date_column), "watermarks"))
 
 
@@ -106,7 +102,7 @@ def incremental_select(
     wanted = date_range(raw, date_column, begin, end)
     latest = group_watermarks(target, wanted, group, date_column, recent_since)
     usable = latest.where(N.valid_watermark("latest_date").isNotNull())
-    joined = lookup_join(wanted, usable, group, "left", latest.count())
+    joined = lookup_join(wanted, usable, group, "left", lookup_bytes(latest))
     start = N.incremental_start("latest_date", None, lookback_days)
     past = F.col(date_column).cast("date") >= start
     return joined.where(F.col("latest_date").isNull() | past).select(*raw.columns)

@@ -10,14 +10,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators import watermarks as W
-from ticklake.operators.lookup import only_codes
-from ticklake.operators.ranges import as_date, bar_time_of_day, date_range, snapshot_time_of_day
-from ticklake.sources.lake import Lake, new_load_id
+from ticklake.operators.lookup import only_clean, only_codes
+from ticklake.operators.ranges import as_date, date_range
+from ticklake.sources.lake import Lake, new_load_id, observed
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class LoadResult:
     row_count: int
     start_date: date | None = None
     end_date: date | None = None
+    reject_count: int = 0
 
 
 def _now() -> datetime:
@@ -68,7 +69,7 @@ def incremental_load(
     table: str,
     raw: DataFrame | Callable[[], DataFrame] | None,
     task_name: str,
-    scope_key: str,
+    scope: str | Callable[[], str],
     begin=None,
     end=None,
     run_date: date | None = None,
@@ -82,23 +83,25 @@ def incremental_load(
     date known, so a run without new rows keeps the checkpoint.
     ``force`` lifts the once-a-day guard, not the watermark. ``raw`` may be a function, so that a
     skipped run does not touch the source. A table without a date is appended whole and the read
-    view keeps the newest row per key.
+    view keeps the newest row per key. Rows without a mandatory field are left out and counted in the log.
     """
     spec = S.TABLES[table]
     begin, end = as_date(begin), as_date(end)
     if begin and end and begin > end:
         raise ValueError("begin is after end")
     started, run_date = _now(), run_date or date.today()
+    scope_key = scope() if callable(scope) else scope
 
     state = log_state(lake, table, task_name, scope_key, run_date)
     before, load_id = state.checkpoint, new_load_id(state.last_id)
 
-    def log(status: str, rows: int = 0, first=None, last=None, message: str = "") -> LoadResult:
+    def log(status: str, rows: int = 0, first=None, last=None, message: str = "", rejects: int = 0) -> LoadResult:
         lake.write_log(
             load_id, task_name=task_name, scope_key=scope_key, run_date=run_date, status=status, target_table=table,
-            start_date=first, end_date=last, row_count=rows, message=message, started_at=started, finished_at=_now(),
+            start_date=first, end_date=last, row_count=rows, reject_count=rejects, message=message, started_at=started,
+            finished_at=_now(),
         )
-        return LoadResult(status, rows, first, last)
+        return LoadResult(status, rows, first, last, rejects)
 
     if state.done_today and not force:
         return log(S.SKIPPED, 0, before, before, f"{task_name} already succeeded on {run_date}")
@@ -106,18 +109,26 @@ def incremental_load(
         return log(S.FAILED, 0, before, before, f"{task_name} has no source")
     try:
         rows = raw() if callable(raw) else raw
+        bad = F.lit(False)
+        for column in spec.key:
+            bad = bad | F.col(column).isNull()
+        # rows without a mandatory field are counted on the way and left out
+        rejected, all_rows = Observation(), rows
+        rows = rows.observe(rejected, F.count_if(bad).alias("n")).where(~bad)
         if spec.date_column:
             rows = W.incremental_select(
                 rows, lake.read(table), spec.group, spec.date_column, begin, end, lookback_days,
                 _month_before(state.table_date),
             )
         stats = lake.append(table, rows, load_id, order)
+        counted = observed(rejected)
+        rejects = counted["n"] if counted else all_rows.where(bad).count()
     except Exception as error:
-        log(S.FAILED, 0, before, before, f"{task_name} failed: {error}"[:2000])
+        log(S.FAILED, 0, before, before, f"{task_name} failed: {error}")
         raise
     lo, hi = (stats.min_date, stats.max_date) if spec.date_column else (run_date, run_date)
     last = max((d for d in (before, hi) if d), default=None)
-    return log(S.SUCCESS, stats.row_count, before or lo, last, f"{task_name} appended {stats.row_count} rows")
+    return log(S.SUCCESS, stats.row_count, before or lo, last, f"{task_name} appended {stats.row_count} rows", rejects)
 
 
 def _month_before(day: date | None) -> date | None:
@@ -126,67 +137,68 @@ def _month_before(day: date | None) -> date | None:
 
 # ----------------------------------------------------------------- one function per table
 
-def _codes_scope(task: str, codes, begin=None, end=None, **more) -> str:
-    listed = codes if codes is None or not isinstance(codes, DataFrame) else None
-    clean = N.code_list(listed) if listed is not None else None
-    return N.scope_text(f"task={task}", clean, begin_date=as_date(begin), end_date=as_date(end), **more)
+def _codes_scope(prefix: str, codes, **more) -> Callable[[], str]:
+    """Scope of a request, worked out when the load begins: a frame of codes takes a job for its digest."""
+    return lambda: N.scope_text(prefix, codes_mark(codes) if isinstance(codes, DataFrame) else None if codes is None else N.code_list(codes), **more)
 
 
-def load_calendar(lake: Lake, raw, market: str = "SH", **options) -> LoadResult:
-    return incremental_load(lake, "trade_calendar", raw, "get_calendar", f"market={market}", **options)
+def codes_mark(codes: DataFrame) -> tuple[int, str]:
+    """Number and digest of a frame's codes: the same for the same set, in whatever order and partitions."""
+    clean = only_clean(codes)
+    n, one, two = clean.agg(F.count("*"), F.bit_xor(F.xxhash64("code")), F.bit_xor(F.xxhash64(F.lit(1), "code"))).first()
+    return n, f"{(one or 0) & (1 << 64) - 1:016x}{(two or 0) & (1 << 64) - 1:016x}"
 
 
-def load_code_info(lake: Lake, raw, security_type: str, **options) -> LoadResult:
-    return incremental_load(lake, "code_info", raw, "get_code_info", f"security_type={security_type}", **options)
+def load_calendar(lake: Lake, raw, market: str | None = "SH", **options) -> LoadResult:
+    """Rows of ``market`` only; of all markets for None."""
+    scope = f"market={market or ''}"
+    return incremental_load(lake, "trade_calendar", _of(raw, "market", market), "get_calendar", scope, **options)
 
 
-def load_membership(lake: Lake, raw, security_type: str, begin=None, end=None, **options) -> LoadResult:
-    scope = N.scope_text(f"security_type={security_type}", begin_date=as_date(begin), end_date=as_date(end))
-    return incremental_load(lake, "hist_code_daily", raw, "get_hist_code_list", scope, begin, end, **options)
+def load_code_info(lake: Lake, raw, security_type: str | None, **options) -> LoadResult:
+    scope = f"security_type={security_type or ''}"
+    return incremental_load(lake, "code_info", _of(raw, "security_type", security_type), "get_code_info", scope, **options)
+
+
+def load_membership(lake: Lake, raw, security_type: str | None, begin=None, end=None, **options) -> LoadResult:
+    scope = N.scope_text(f"security_type={security_type or ''}", begin_date=as_date(begin), end_date=as_date(end))
+    rows = _of(raw, "security_type", security_type)
+    return incremental_load(lake, "hist_code_daily", rows, "get_hist_code_list", scope, begin, end, **options)
 
 
 def load_factor(lake: Lake, raw, factor_type: str, codes=None, **options) -> LoadResult:
-    """``factor_type`` is ``adj`` or ``backward``."""
+    """``factor_type`` is ``adj`` or ``backward``; rows of the other type stay out."""
     if factor_type not in S.FACTOR_TYPES:
         raise ValueError(f"unknown factor type: {factor_type!r}")
-    listed = N.code_list(codes) if codes is not None and not isinstance(codes, DataFrame) else None
-    scope = N.scope_text(f"factor_type={factor_type}", listed)
-    return incremental_load(
-        lake, "price_factor", _restricted(raw, codes, "code"), f"get_{factor_type}_factor", scope, **options
-    )
+    rows = _of(_restricted(raw, codes, "code"), "factor_type", factor_type)
+    return incremental_load(lake, "price_factor", rows, f"get_{factor_type}_factor", _codes_scope(f"factor_type={factor_type}", codes), **options)
 
 
 def load_stock_basic(lake: Lake, raw, codes=None, **options) -> LoadResult:
     """One profile per code and day; ``raw`` is stamped with its snapshot date."""
-    return incremental_load(
-        lake, "stock_basic", _restricted(raw, codes, "market_code"), "get_stock_basic",
-        _codes_scope("get_stock_basic", codes), **options,
-    )
+    task = "get_stock_basic"
+    scope = _codes_scope(f"task={task}", codes, begin_date=None, end_date=None)
+    return incremental_load(lake, "stock_basic", _restricted(raw, codes, "market_code"), task, scope, **options)
 
 
 def load_status(lake: Lake, raw, codes=None, begin=None, end=None, **options) -> LoadResult:
     task = "get_history_stock_status"
-    return incremental_load(
-        lake, "history_stock_status", _restricted(raw, codes, "market_code"), task,
-        _codes_scope(task, codes, begin, end), begin, end, **options,
-    )
+    scope = _codes_scope(f"task={task}", codes, begin_date=as_date(begin), end_date=as_date(end))
+    return incremental_load(lake, "history_stock_status", _restricted(raw, codes, "market_code"), task, scope, begin, end, **options)
 
 
-def load_kline(lake: Lake, raw, period: str = "day", codes=None, begin=None, end=None,
-               begin_time: int | None = None, end_time: int | None = None, **options) -> LoadResult:
-    """Daily or 1-minute bars of all codes in one job."""
+def load_kline(lake: Lake, raw, period: str = "day", codes=None, begin=None, end=None, **options) -> LoadResult:
+    """Daily or 1-minute bars of all codes in one job; whole days, since the watermark is a day."""
     table, task = kline_table(period)
-    scope = _codes_scope(task, codes, begin, end, begin_time=begin_time, end_time=end_time)
-    timed = _at_times(_restricted(raw, codes, "code"), begin_time, end_time, snapshot=False)
-    return incremental_load(lake, table, timed, task, scope, begin, end, **options)
+    scope = _codes_scope(f"task={task}", codes, begin_date=as_date(begin), end_date=as_date(end))
+    return incremental_load(lake, table, _restricted(raw, codes, "code"), task, scope, begin, end, **options)
 
 
-def load_snapshot(lake: Lake, raw, codes=None, begin=None, end=None,
-                  begin_time: int | None = None, end_time: int | None = None, **options) -> LoadResult:
+def load_snapshot(lake: Lake, raw, codes=None, begin=None, end=None, **options) -> LoadResult:
+    """Snapshots of whole days."""
     task = "query_snapshot"
-    scope = _codes_scope(task, codes, begin, end, begin_time=begin_time, end_time=end_time)
-    timed = _at_times(_restricted(raw, codes, "code"), begin_time, end_time, snapshot=True)
-    return incremental_load(lake, "market_snapshot", timed, task, scope, begin, end, **options)
+    scope = _codes_scope(f"task={task}", codes, begin_date=as_date(begin), end_date=as_date(end))
+    return incremental_load(lake, "market_snapshot", _restricted(raw, codes, "code"), task, scope, begin, end, **options)
 
 
 def kline_table(period: str | int) -> tuple[str, str]:
@@ -211,6 +223,6 @@ def _restricted(raw, codes, column: str):
     return raw if codes is None else _later(raw, lambda df: only_codes(df, codes, column))
 
 
-def _at_times(raw, begin_time, end_time, snapshot: bool):
-    keep = snapshot_time_of_day if snapshot else bar_time_of_day
-    return raw if begin_time is None and end_time is None else _later(raw, lambda df: keep(df, begin_time, end_time))
+def _of(raw, column: str, value: str | None):
+    """Rows of one market or type; a drop that holds others keeps them."""
+    return raw if value is None else _later(raw, lambda df: df.where(F.col(column) == value))

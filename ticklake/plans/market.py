@@ -6,7 +6,7 @@ a day per request, then guarded by the log).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 from typing import Protocol
 
@@ -15,13 +15,21 @@ from pyspark.sql import DataFrame, functions as F
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators import watermarks as W
+from ticklake.operators.lookup import code_column, only_clean
 from ticklake.operators.ranges import as_date
 from ticklake.plans import loads, views
 from ticklake.sources.lake import Lake
 
 
 class Source(Protocol):
-    """Raw rows of each table, already in table columns (see ``ticklake.sources.raw``)."""
+    """Raw rows of each table, already in table columns (see ``ticklake.sources.raw``).
+
+    ``order`` names the columns that tell which of two rows of one key came later, such as drop time, file and
+    row; the readers' ``keep`` carries them. Without them the row with the larger values is taken. Rows without a mandatory
+    field (``raw.normalize`` keeps them, the readers do not) are left out by the load and counted in its log row.
+    """
+
+    order: Sequence[str]
 
     def calendar(self, market: str) -> DataFrame: ...
     def code_info(self, security_type: str) -> DataFrame: ...
@@ -33,7 +41,16 @@ class Source(Protocol):
     def snapshot(self) -> DataFrame: ...
 
 
-def _codes(code_list: Sequence[str]) -> list[str]:
+Codes = Sequence[str] | DataFrame
+
+
+def _codes(code_list: Codes) -> Codes:
+    """A cleaned list, or a frame of codes such as a universe (see ``lookup.code_column``) as it is."""
+    if isinstance(code_list, DataFrame):
+        code_column(code_list)
+        return code_list
+    if not isinstance(code_list, Iterable):
+        raise TypeError(f"codes are a list, a comma text or a DataFrame, not {type(code_list).__name__}")
     codes = N.code_list(code_list)
     if not codes:
         raise ValueError("code_list is empty")
@@ -62,6 +79,7 @@ def _range(begin, end) -> tuple[date | None, date | None]:
 class MarketLake:
     def __init__(self, lake: Lake, source: Source | None = None, require_rows: bool = False):
         self.lake, self.source, self.require_rows = lake, source, require_rows
+        self.order = list(getattr(source, "order", ())) or None
 
     def ensure_tables(self) -> None:
         self.lake.ensure_tables()
@@ -86,17 +104,17 @@ class MarketLake:
     # ------------------------------------------------------------- loads
 
     def sync_calendar(self, market: str = "SH", force: bool = False) -> int:
-        return loads.load_calendar(self.lake, self._from("calendar", market), market, force=force).row_count
+        return loads.load_calendar(self.lake, self._from("calendar", market), market, force=force, order=self.order).row_count
 
     def sync_code_info(self, security_type: str = S.UNIVERSE_TYPES["security"], force: bool = False) -> int:
         return loads.load_code_info(
-            self.lake, self._from("code_info", security_type), security_type, force=force
+            self.lake, self._from("code_info", security_type), security_type, force=force, order=self.order
         ).row_count
 
     def sync_hist_code_list(self, security_type: str, begin_date=None, end_date=None, force: bool = False) -> int:
         begin, end = _range(begin_date, end_date)
         return loads.load_membership(
-            self.lake, self._from("membership", security_type), security_type, begin, end, force=force
+            self.lake, self._from("membership", security_type), security_type, begin, end, force=force, order=self.order
         ).row_count
 
     def sync_adj_factor(self, code_list, force: bool = False) -> int:
@@ -107,27 +125,28 @@ class MarketLake:
 
     def _sync_factor(self, factor_type: str, code_list, force: bool) -> int:
         return loads.load_factor(
-            self.lake, self._from("factors", factor_type), factor_type, _codes(code_list), force=force
+            self.lake, self._from("factors", factor_type), factor_type, _codes(code_list), force=force, order=self.order
         ).row_count
 
     def sync_stock_basic(self, code_list, force: bool = False) -> int:
         return loads.load_stock_basic(
-            self.lake, self._from("stock_basic", date.today()), _codes(code_list), force=force
+            self.lake, self._from("stock_basic", date.today()), _codes(code_list), force=force, order=self.order
         ).row_count
 
     def sync_history_stock_status(self, code_list, begin_date=None, end_date=None, force: bool = False) -> int:
         begin, end = _range(begin_date, end_date)
         return loads.load_status(
-            self.lake, self._from("status"), _codes(code_list), begin, end, force=force
+            self.lake, self._from("status"), _codes(code_list), begin, end, force=force, order=self.order
         ).row_count
 
     def sync_kline(self, code_list, begin_date, end_date, period="day", begin_time=None, end_time=None,
                    force: bool = False, lookback_days: int = 0) -> int:
+        """Loads whole days, since a day counts as loaded afterwards; times of day are for reads and change nothing here."""
         begin, end = _range(begin_date, end_date)
         name = "min1" if loads.kline_table(period)[0] == "kline_minute" else "day"
         return loads.load_kline(
-            self.lake, self._from("kline", name), name, _codes(code_list), begin, end, begin_time, end_time,
-            force=force, lookback_days=lookback_days,
+            self.lake, self._from("kline", name), name, _codes(code_list), begin, end,
+            force=force, lookback_days=lookback_days, order=self.order,
         ).row_count
 
     def sync_kline_minute(self, code_list, begin_date, end_date, begin_time=None, end_time=None,
@@ -138,8 +157,8 @@ class MarketLake:
                       force: bool = False, lookback_days: int = 0) -> int:
         begin, end = _range(begin_date, end_date)
         return loads.load_snapshot(
-            self.lake, self._from("snapshot"), _codes(code_list), begin, end, begin_time, end_time,
-            force=force, lookback_days=lookback_days,
+            self.lake, self._from("snapshot"), _codes(code_list), begin, end,
+            force=force, lookback_days=lookback_days, order=self.order,
         ).row_count
 
     # ------------------------------------------------------------- reads
@@ -200,6 +219,8 @@ class MarketLake:
 
     def _factor(self, factor_type: str, code_list) -> DataFrame:
         codes = _codes(code_list)
+        if isinstance(codes, DataFrame):  # each code is a column, so the request must fit a plan anyway
+            codes = [r[0] for r in only_clean(codes).orderBy("code").collect()]
         return self._serve(
             f"{factor_type} factors", lambda force: self._sync_factor(factor_type, codes, force),
             lambda: views.factor_matrix(self.lake.read("price_factor"), factor_type, codes),

@@ -243,12 +243,12 @@ ORACLE: dict[str, str] = {
         "CASE WHEN latest - 2 > DATE '2001-06-01' THEN latest - 2 ELSE DATE '2001-06-01' END AS lookback_start "
         "FROM (SELECT CAST(p_partkey AS VARCHAR) AS market_code FROM part) "
         "LEFT JOIN (SELECT market_code, max(trade_date) AS latest FROM status GROUP BY market_code) USING (market_code)",
-    "common_watermark_kline": _with(BARS) + _common("bars", "bars", day="trade_time"),
+    "common_watermark_kline": _with(BARS) + _common("bars", "(SELECT * FROM bars WHERE code LIKE '%7%')", day="trade_time"),
     "common_watermark_minute": _with(MINUTES) + _common("minutes", "minutes", day="trade_time"),
     "common_watermark_snapshot": _with(TICKS) + _common("ticks", "ticks", day="trade_time"),
-    "common_watermark_factor": _with(FACTORS, "back AS (SELECT * FROM factors WHERE factor_type = 'backward')") + _common("back", "back"),
+    "common_watermark_factor": _with(FACTORS, "back AS (SELECT * FROM factors WHERE factor_type = 'backward')") + _common("back", "(SELECT * FROM back WHERE code LIKE '%7%')"),
     "common_watermark_stock_basic": _with(BASIC) + _common("basic", "basic", "market_code", "snapshot_date"),
-    "common_watermark_status": _with(STATUS) + _common("status", "status", "market_code"),
+    "common_watermark_status": _with(STATUS) + _common("status", "(SELECT * FROM status WHERE market_code LIKE '%7%')", "market_code"),
     "common_watermark_missing": _with(STATUS, "asked AS (SELECT CAST(p_partkey AS VARCHAR) AS market_code FROM part)")
         + _common("status", "asked", "market_code"),
     "incremental_select": _incremental(0),
@@ -338,3 +338,30 @@ ORACLE: dict[str, str] = {
         + " WHERE trade_time + INTERVAL '5 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '5 minutes'",
 }
 ORACLE["kline_daily_ordered"] = ORACLE["kline_daily_range"]
+
+# ----------------------------------------------------------------- requests by frame, corrections, open members, copies of ticks
+
+_SEVEN = "SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 3 = 0"
+_HALVES = "CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_extendedprice / l_quantity END"
+_ALL_DAYS = "range(DATE '1996-02-01', DATE '1996-02-11', INTERVAL 1 DAY)"
+ORACLE |= {
+    "kline_for_universe": _with(BARS, "daily AS (SELECT * FROM bars WHERE trade_time >= DATE '1996-01-01' AND trade_time < DATE '1997-01-01')")
+        + _latest("daily", BAR_KEY, KLINE, f"code IN ({_SEVEN})"),
+    "load_two_frames": _with(BARS) + _latest("bars", BAR_KEY, KLINE, "CAST(code AS BIGINT) % 4 IN (0, 1)"),
+    "load_kline_corrections": _with(BARS, f"""drop_rows AS (
+        SELECT CAST(l_partkey AS VARCHAR) AS code, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS trade_time, {_HALVES} AS close,
+               l_extendedprice AS amount, l_orderkey * 8 + l_linenumber AS arrival FROM lineitem)""")
+        + _latest("drop_rows", BAR_KEY, "code, trade_time, close, amount", order="arrival"),
+    "load_minute_then_full_day": _with(MINUTES) + _latest("minutes", BAR_KEY, KLINE, "trade_time < DATE '2024-01-04'"),
+    "load_one_factor_type": _with(FACTORS) + _latest("factors", "trade_date, code", "factor_type, trade_date, code, factor_value", "factor_type = 'adj'"),
+    "load_rejects": """SELECT 'success' AS status, count(DISTINCT (l_partkey, CAST(l_shipdate AS DATE))) FILTER (WHERE l_linenumber <> 7) AS row_count,
+        count(*) FILTER (WHERE l_linenumber = 7) AS reject_count FROM lineitem""",
+    "membership_open": _with(MEMBERS, CALENDAR) + "SELECT DISTINCT c.trade_date, m.security_type, m.code FROM members m JOIN "
+        "(SELECT DISTINCT trade_date FROM calendar WHERE market = 'SH' AND trade_date BETWEEN DATE '1996-01-01' AND DATE '1996-01-31') c "
+        "ON c.trade_date >= m.trade_date AND (m.code LIKE '%3' OR c.trade_date <= m.trade_date + 5)",
+    "membership_natural_days": _with(MEMBERS) + f"SELECT DISTINCT CAST(d AS DATE) AS trade_date, m.security_type, m.code FROM members m JOIN "
+        f"(SELECT unnest({_ALL_DAYS}) AS d) ON CAST(d AS DATE) BETWEEN m.trade_date AND m.trade_date + 5",
+    "split_codes": "SELECT p_partkey, array_to_string([trim(x) FOR x IN string_split(p_name || ' ,, ' || p_type || ',' || p_name, ',') IF trim(x) <> ''], '|') AS codes FROM part",
+    "ticks_with_copies_to_bars": _with(TICKS) + _STREAM_BARS,
+    "tick_stream_with_copies_to_lake": ORACLE["tick_stream_to_bars"],
+}

@@ -13,10 +13,11 @@ from ticklake.operators import bars as B, matrix, quality, ranges, watermarks as
 from ticklake.operators.dedup import latest_per_key, union_latest
 from ticklake.operators.lookup import distinct_in_order, only_codes, with_position
 from ticklake.plans import loads, views
+from ticklake.plans.market import MarketLake
 from ticklake.sources import raw, sample_tables as T
 from ticklake.sources.lake import Lake
 from ticklake.sources.workspace import scratch_path
-from ticklake.streaming.ticks import run_stream_bars
+from ticklake.streaming.ticks import run_stream_bars, stream_into_lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -243,9 +244,14 @@ def incremental_start(spark, sf):
     )
 
 
+def _other_codes(rows: DataFrame, column: str) -> DataFrame:
+    """A request that is not the table's own codes: those with a 7 in them."""
+    return rows.select(F.col(column).alias("code")).where("code LIKE '%7%'").distinct()
+
+
 @query
 def common_watermark_kline(spark, sf):
-    return W.common_watermark(T.daily_bars(spark, sf), T.daily_bars(spark, sf), date_column="trade_time")
+    return W.common_watermark(T.daily_bars(spark, sf), _other_codes(T.daily_bars(spark, sf), "code"), date_column="trade_time")
 
 
 @query
@@ -261,7 +267,7 @@ def common_watermark_snapshot(spark, sf):
 @query
 def common_watermark_factor(spark, sf):
     rows = T.factors(spark, sf).where("factor_type = 'backward'")
-    return W.common_watermark(rows, rows)
+    return W.common_watermark(rows, _other_codes(rows, "code"))
 
 
 @query
@@ -274,7 +280,7 @@ def common_watermark_stock_basic(spark, sf):
 @query
 def common_watermark_status(spark, sf):
     rows = T.status(spark, sf)
-    return W.common_watermark(rows, rows, "market_code")
+    return W.common_watermark(rows, _other_codes(rows, "market_code"), "market_code")
 
 
 @query
@@ -473,14 +479,14 @@ def _in_two_windows(lake: Lake, table: str, load, rows: DataFrame, date_column:
 @query
 def load_calendar(spark, sf):
     rows = T.calendar(spark, sf)
-    return _in_two_windows(_lake(spark), "trade_calendar", loads.load_calendar, rows, "trade_date", market="all")
+    return _in_two_windows(_lake(spark), "trade_calendar", loads.load_calendar, rows, "trade_date", market=None)
 
 
 @query
 def load_code_info(spark, sf):
     lake, rows = _lake(spark), T.code_info(spark, sf)
     for day in (1, 2):
-        loads.load_code_info(lake, rows, "all", run_date=date(2024, 1, day), order="ingest_seq")
+        loads.load_code_info(lake, rows, None, run_date=date(2024, 1, day), order="ingest_seq")
     return lake.latest("code_info")
 
 
@@ -488,7 +494,7 @@ def load_code_info(spark, sf):
 def load_membership(spark, sf):
     rows = T.membership(spark, sf)
     return _in_two_windows(
-        _lake(spark), "hist_code_daily", loads.load_membership, rows, "trade_date", security_type="all"
+        _lake(spark), "hist_code_daily", loads.load_membership, rows, "trade_date", security_type=None
     )
 
 
@@ -586,3 +592,120 @@ def tick_stream_to_bars(spark, sf):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     out, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     return _rounded(run_stream_bars(T.tick_columns(stream), out, state, minutes=5))
+
+
+def _with_copies(ticks: DataFrame) -> DataFrame:
+    """Every tick once more, as it first came: with another price and less volume, both put right by the later row."""
+    wrong = {"last": F.col("last") * 3 + 1, "volume": F.col("volume") / 2, "amount": F.lit(None).cast("double")}
+    first = ticks.withColumns(wrong).withColumn("arrival", F.lit(0))
+    return first.unionByName(ticks.withColumn("arrival", F.lit(1)))
+
+
+@query
+def ticks_with_copies_to_bars(spark, sf):
+    return _rounded(B.ticks_to_bars(_with_copies(T.ticks(spark, sf)), 5, order=["arrival"]))
+
+
+@query
+def tick_stream_with_copies_to_lake(spark, sf):
+    """The same as a stream into the lake's minute bars, read back through the front door."""
+    schema = T.table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    lake = _lake(spark)
+    stream_into_lake(_with_copies(T.tick_columns(stream)), lake, scratch_path(spark, "stream-state"), minutes=5, order=["arrival"])
+    return _rounded(MarketLake(lake).query_kline_minute(T.user_codes(spark, sf), None, None, ordered=False))
+
+
+# ----------------------------------------------------------------- through the front door
+
+class _Drop:
+    """A source of bars and factors over given rows."""
+
+    def __init__(self, rows: DataFrame, order=()):
+        self.rows, self.order = rows, order
+
+    def kline(self, period: str) -> DataFrame:
+        return self.rows
+
+    def factors(self, factor_type: str) -> DataFrame:
+        return self.rows
+
+
+def _parts(spark, sf, test: str) -> DataFrame:
+    return T.table(spark, sf, "part").where(test).select(F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" ")).alias("code"))
+
+
+@query
+def kline_for_universe(spark, sf):
+    """A frame of codes, untrimmed, goes straight into a query that loads first."""
+    market = MarketLake(_lake(spark), _Drop(T.daily_bars(spark, sf), ["ingest_seq"]))
+    return market.query_kline(_parts(spark, sf, "p_partkey % 3 = 0"), "1996-01-01", "1996-12-31", ordered=False)
+
+
+@query
+def load_two_frames(spark, sf):
+    """Two frames of codes on one day: both are loaded, the repeat of one is not."""
+    lake = _lake(spark)
+    market = MarketLake(lake, _Drop(T.daily_bars(spark, sf), ["ingest_seq"]))
+    for part in (0, 1, 0):
+        market.sync_kline(_parts(spark, sf, f"p_partkey % 4 = {part}"), None, None)
+    return lake.latest("kline_daily")
+
+
+@query
+def load_kline_corrections(spark, sf):
+    """A drop with differing copies of a key, some of them with NULL values: the one that came last is stored, whole."""
+    close = F.when(F.col("l_linenumber") % 2 != 0, F.col("l_extendedprice") / F.col("l_quantity"))
+    drop = T.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("code"), F.col("l_shipdate").cast("date").alias("trade_date"), close.alias("close"),
+        F.col("l_extendedprice").alias("amount"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("arrival"))
+    lake = _lake(spark)
+    MarketLake(lake, _Drop(raw.kline(drop, keep=["arrival"]), ["arrival"])).sync_kline(_parts(spark, sf, "true"), None, None)
+    return lake.latest("kline_daily").select("code", "trade_time", "close", "amount")
+
+
+@query
+def load_minute_then_full_day(spark, sf):
+    """A request for some minutes of two days, then for the days: nothing is missing from the second."""
+    market = MarketLake(_lake(spark), _Drop(T.minute_bars(spark, sf), ["ingest_seq"]))
+    market.query_kline_minute(T.user_codes(spark, sf), "2024-01-01", "2024-01-03", 930, 1130)
+    return market.query_kline_minute(T.user_codes(spark, sf), "2024-01-01", "2024-01-03", ordered=False)
+
+
+@query
+def load_one_factor_type(spark, sf):
+    """A drop of both factor types: a load of one stores one."""
+    lake = _lake(spark)
+    loads.load_factor(lake, T.factors(spark, sf), "adj", run_date=date(2024, 1, 2), order="ingest_seq")
+    return lake.latest("price_factor")
+
+
+@query
+def load_rejects(spark, sf):
+    """Rows without a code are left out, and counted in the log."""
+    code = F.when(F.col("l_linenumber") != 7, F.col("l_partkey").cast("string"))
+    drop = T.table(spark, sf, "lineitem").select(code.alias("code"), F.col("l_shipdate").cast("date").alias("trade_date"), F.col("l_tax").alias("open"))
+    lake = _lake(spark)
+    loads.load_kline(lake, raw.normalize(drop, "kline_daily"), run_date=date(2024, 1, 2))
+    return lake.read("sync_task_log").select("status", "row_count", "reject_count")
+
+
+@query
+def membership_open(spark, sf):
+    """Members whose code ends in 3 have no end."""
+    open_ended = T.membership_intervals(spark, sf).withColumn("out_date", F.when(~F.col("code").endswith("3"), F.col("out_date")))
+    days = raw.trading_days(T.calendar(spark, sf).where("market = 'SH'"), BEGIN, "1996-01-31")
+    return raw.membership_daily(open_ended, days)
+
+
+@query
+def membership_natural_days(spark, sf):
+    """A calendar without days in the range: every natural day counts."""
+    days = raw.trading_days(T.calendar(spark, sf).where("market = 'NONE'"), "1996-02-01", "1996-02-10")
+    return raw.membership_daily(T.membership_intervals(spark, sf), days)
+
+
+@query
+def split_codes(spark, sf):
+    text = F.concat("p_name", F.lit(" ,, "), "p_type", F.lit(","), "p_name")
+    return T.table(spark, sf, "part").select("p_partkey", F.concat_ws("|", N.split_codes(text)).alias("codes"))

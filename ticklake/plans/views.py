@@ -64,19 +64,22 @@ def stock_basic(rows: DataFrame, codes: Codes, order=INGEST_SEQ) -> DataFrame:
     The common date is the earliest of the codes' latest snapshot dates; it is empty, and so is the
     result, unless every requested code has a profile.
     """
-    asof = W.common_watermark(rows, codes, "market_code", "snapshot_date").scalar()
-    at_date = with_position(rows.where(F.col("snapshot_date") == asof), codes, "market_code")
+    # the date is read first: as a value it prunes months and files of the wide scan
+    asof = W.common_watermark(rows, codes, "market_code", "snapshot_date").first()[0]
+    dated = ranges.date_range(rows, "snapshot_date", asof, asof) if asof else rows.where("false")
+    at_date = with_position(dated, codes, "market_code")
     values = [c for c in S.STOCK_BASIC_NAMES.values() if c != "market_code"]
     latest = latest_per_key(at_date, ["market_code", "pos"], values, order).orderBy("pos")
     return latest.select(*[F.col(c).alias(vendor) for vendor, c in S.STOCK_BASIC_NAMES.items()])
 
 
-def stock_status(rows: DataFrame, codes: Codes, begin=None, end=None, order=INGEST_SEQ) -> DataFrame:
-    """Daily trading status, vendor names, dates as YYYYMMDD, request order then date."""
+def stock_status(rows: DataFrame, codes: Codes, begin=None, end=None, order=INGEST_SEQ, ordered: bool = True) -> DataFrame:
+    """Daily trading status, vendor names, dates as YYYYMMDD, request order then date (``ordered=False``: any order)."""
     chosen = with_position(ranges.date_range(rows, "trade_date", begin, end), codes, "market_code")
     key = ["market_code", "trade_date"]
     values = [c for c in S.STATUS_NAMES.values() if c not in key]
-    latest = latest_per_key(chosen, [*key, "pos"], values, order).orderBy("pos", "trade_date")
+    latest = latest_per_key(chosen, [*key, "pos"], values, order)
+    latest = latest.orderBy("pos", "trade_date") if ordered else latest
     return latest.withColumn("trade_date", N.date_to_text("trade_date")).select(
         *[F.col(c).alias(vendor) for vendor, c in S.STATUS_NAMES.items()]
     )

@@ -240,7 +240,7 @@ TABLES = {
         TableSpec("sync_task_log",
                   _schema({"task_name": STR, "scope_key": STR, "run_date": DATE, "status": STR,
                            "target_table": STR},
-                          {"start_date": DATE, "end_date": DATE, "row_count": LONG, "message": STR,
+                          {"start_date": DATE, "end_date": DATE, "row_count": LONG, "reject_count": LONG, "message": STR,
                            "started_at": TS, "finished_at": TS}),
                   ("task_name", "scope_key", "run_date", "started_at"), "run_date", append_only=True),
     )

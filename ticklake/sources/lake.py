@@ -1,20 +1,21 @@
-"""The lake: one Parquet folder per table, append, read, compaction, audit log."""
+"""The lake: Parquet folders under a manifest per table; append, read, compaction, audit log."""
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
 from ticklake.operators.dedup import latest_per_key, new_keys
 from ticklake.operators.ranges import as_date
-from ticklake.sources.workspace import settle
+from ticklake.sources.manifest import Entry, Manifest
 
 
 def new_load_id(last: int | None = None) -> int:
@@ -22,6 +23,14 @@ def new_load_id(last: int | None = None) -> int:
     return max(time.time_ns() // 1000, (last or 0) + 1)
 
 
+def observed(seen: Observation) -> dict | None:
+    """What was observed; None if adaptive execution found that no row would come and dropped that part of the plan."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return None
+
+
 @dataclass(frozen=True)
 class WriteStats:
     row_count: int
@@ -36,22 +45,27 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def manifest(self, table: str) -> Manifest:
+        return Manifest(self.spark, self.path(table))
+
     def ensure_tables(self, *names: str) -> None:
-        """Create the folders of the tables (all by default) ahead of their first write; data stays."""
+        """Put empty lists for tables (all by default) that were never written."""
         for name in names or S.TABLES:
-            spec = S.TABLES[name]
-            empty = self.spark.createDataFrame([], spec.stored_schema).write.mode("append")
-            (empty.partitionBy(S.MONTH) if spec.date_column else empty).parquet(self.path(name))
+            manifest = self.manifest(name)
+            if not manifest.version():
+                manifest.switch([])
+
+    def _open(self, table: str, entries: Sequence[Entry]) -> DataFrame:
+        spec, root = S.TABLES[table], self.path(table)
+        if not entries:
+            return self.spark.createDataFrame([], spec.stored_schema)
+        paths = [f"{root}/{e.write}" + (f"/{S.MONTH}={e.month}" if spec.date_column else "") for e in entries]
+        stored = self.spark.read.schema(spec.stored_schema).option("basePath", root).parquet(*paths)
+        return stored.select(*spec.stored_schema.names)
 
     def read(self, table: str) -> DataFrame:
         """Stored rows, duplicates included; empty before the first write."""
-        schema = S.TABLES[table].stored_schema
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self._open(table, self.manifest(table).entries())
 
     def latest(self, table: str) -> DataFrame:
         """Read view: one row per key."""
@@ -60,25 +74,23 @@ class Lake:
 
     # ------------------------------------------------------------- writing
 
-    def _write(self, table: str, rows: DataFrame, path: str, mode: str, observe: Observation | None = None) -> None:
-        """Sorted by key within each file, so Parquet statistics can skip row groups.
+    def _write(self, table: str, rows: DataFrame, load_id: int, observe: Observation | None = None) -> list[Entry]:
+        """Write ``rows`` into a folder of their own; they count once the manifest names it.
 
-        ``rebalance`` gathers a month into few files, and adaptive execution cuts an outsized month
-        into several tasks; a plain ``repartition("month")`` would put it into one.
+        Files are ranges of (month, key): those of a month hold disjoint codes, so that footers tell which to open for a
+        code, and a hot month or code is cut into several files.
         """
         spec = S.TABLES[table]
-        if not spec.date_column:
-            out = rows.hint("rebalance")
-            out = out.observe(observe, *self._metrics(spec)) if observe else out
-            out.sortWithinPartitions(*spec.key).write.mode(mode).parquet(path)
-            return
-        out = rows.withColumn(S.MONTH, N.month_key(spec.date_column)).hint("rebalance", F.col(S.MONTH))
+        name = f"write={load_id}-{uuid.uuid4().hex[:8]}"
+        out = rows.withColumn(S.MONTH, N.month_key(spec.date_column)) if spec.date_column else rows
+        order = [c for c in spec.key if c != spec.date_column] + [c for c in spec.key if c == spec.date_column]
+        order = [S.MONTH, *order] if spec.date_column else order
+        out = out.repartitionByRange(*order)
         # observed in the final stage: a re-run task is counted once
         out = out.observe(observe, *self._metrics(spec)) if observe else out
-        (
-            out.sortWithinPartitions(S.MONTH, *spec.key).write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic").partitionBy(S.MONTH).parquet(path)
-        )
+        writer = out.sortWithinPartitions(*order).write
+        (writer.partitionBy(S.MONTH) if spec.date_column else writer).parquet(f"{self.path(table)}/{name}")
+        return [Entry(name, month, load_id, not spec.append_only) for month in self.manifest(table).months_of(name)]
 
     @staticmethod
     def _metrics(spec: S.TableSpec):
@@ -90,8 +102,8 @@ class Lake:
     ) -> WriteStats:
         """Append one load and say what was written.
 
-        Copies of a key inside the load collapse first: the highest ``order`` wins, else a row picked
-        by a hash of its values, so that a repeated load picks the same one. Then every row gets the
+        Copies of a key inside the load collapse first: the highest ``order`` wins (NULL is the lowest), among equals
+        the row with the larger values, so that any repeat of the load picks the same one. Then every row gets the
         load's id, by default the time in microseconds; ids must grow from load to load.
         ``(key, ingest_seq)`` is therefore unique and the read-time rule is exact. Tables that
         consist of their key only take just the keys not stored yet.
@@ -101,16 +113,15 @@ class Lake:
             fresh = rows.select(*spec.columns)
         elif spec.all_key:
             fresh = new_keys(rows, self._same_months(table, rows), spec.key)
-        elif order is None:
-            ranked = rows.select(*spec.columns).withColumn("__order", F.xxhash64(*spec.values))
-            fresh = latest_per_key(ranked, spec.key, spec.values, "__order")
         else:
-            fresh = latest_per_key(rows, spec.key, spec.values, order)
-        seq = F.lit(load_id or new_load_id()).cast("bigint")
-        stamped = fresh.select(*spec.columns, seq.alias(S.INGEST_SEQ))
-        seen = Observation()
-        self._write(table, stamped, self.path(table), "append", seen)
-        got = seen.get
+            by = [] if order is None else [order] if isinstance(order, str) else list(order)
+            fresh = latest_per_key(rows, spec.key, spec.values, [*by, *[v for v in spec.values if v not in by]])
+        load_id = load_id or new_load_id()
+        stamped = fresh.select(*spec.columns, F.lit(load_id).cast("bigint").alias(S.INGEST_SEQ))
+        seen, manifest = Observation(), self.manifest(table)
+        written = self._write(table, stamped, load_id, seen)
+        manifest.switch([*manifest.entries(), *written])
+        got = observed(seen) or {"n": 0, "lo": None, "hi": None}
         return WriteStats(got["n"], got["lo"], got["hi"])
 
     def _same_months(self, table: str, rows: DataFrame) -> DataFrame:
@@ -121,36 +132,44 @@ class Lake:
         lo, hi = rows.agg(F.min(spec.date_column), F.max(spec.date_column)).first()
         return stored.where(F.col(S.MONTH).between(f"{lo:%Y%m}", f"{hi:%Y%m}")) if lo else stored.where("false")
 
-    def compact(self, table: str, months: Sequence[str] | None = None) -> None:
-        """Rewrite ``months`` (all by default) with one row per key, as if one load had written them.
+    def compact(self, table: str, months: Sequence[str] | None = None) -> list[str | None]:
+        """Rewrite ``months`` (all by default) that consist of several writes with one row per key, as if one load had
+        written them; an audit log keeps all its rows. Returns the months rewritten.
 
-        The compacted rows are settled in the shared folder first and the touched partitions are
-        replaced from that copy, so a run that dies while replacing can be repeated from it. The
-        rows get the newest load id among them, which later loads exceed.
+        The new files are complete before one switch of the manifest puts them in place of the old ones: a run that
+        dies changes nothing, and readers keep what they opened. ``vacuum`` deletes the old files. The rows get
+        the newest load id among them, which later loads exceed.
         """
-        spec, stored = S.TABLES[table], self.read(table)
+        spec, manifest = S.TABLES[table], self.manifest(table)
+        entries = manifest.entries()
+        chosen = {e.month for e in entries if months is None or not spec.date_column or e.month in months}
+        several = sorted((m for m in chosen if sum(e.month == m for e in entries) > 1), key=str)
+        old = [e for e in entries if e.month in several]
+        if not old:
+            return []
+        newest, stored = max(e.load_id for e in old), self._open(table, old)
         if spec.append_only:
-            raise ValueError(f"{table} is an audit log")
-        if months is not None and spec.date_column:
-            stored = stored.where(F.col(S.MONTH).isin(list(months)))
-        newest = stored.agg(F.max(S.INGEST_SEQ)).first()[0]
-        if newest is None:
-            return
-        kept = latest_per_key(stored, spec.key, spec.values).select(*spec.columns)
-        copy = settle(kept.withColumn(S.INGEST_SEQ, F.lit(newest).cast("bigint")), "compaction")
-        self._write(table, copy, self.path(table), "overwrite")
+            kept = stored.select(*spec.columns, S.INGEST_SEQ)
+        else:
+            kept = latest_per_key(stored, spec.key, spec.values).select(*spec.columns, F.lit(newest).cast("bigint").alias(S.INGEST_SEQ))
+        written = self._write(table, kept, newest)
+        manifest.switch([e for e in entries if e not in old] + written)
+        return several
+
+    def vacuum(self, table: str) -> list[str]:
+        return self.manifest(table).vacuum()
 
     def unique_months(self, table: str, begin=None, end=None) -> list[str]:
-        """Months in the range whose rows all come from one load, so that keys are unique there.
+        """Months in the range that one write holds, so that keys are unique there; known from the manifest, without a job.
 
-        Reads a single column that is constant per file, a tiny part of the data, and saves the read
-        view its shuffle for every month that was loaded once or compacted since.
+        It saves the read view its shuffle for every month that was loaded once or compacted since.
         """
-        rows = self.read(table)
-        for bound, test in ((as_date(begin), Column.__ge__), (as_date(end), Column.__le__)):
-            rows = rows if bound is None else rows.where(test(F.col(S.MONTH), f"{bound:%Y%m}"))
-        loads = rows.groupBy(S.MONTH).agg(F.min(S.INGEST_SEQ).alias("lo"), F.max(S.INGEST_SEQ).alias("hi"))
-        return sorted(r[S.MONTH] for r in loads.where("lo = hi and month is not null").collect())
+        low, high = (None if d is None else f"{as_date(d):%Y%m}" for d in (begin, end))
+        writes: dict[str, list[Entry]] = {}
+        for e in self.manifest(table).entries():
+            if e.month and e.month.isdigit() and (low is None or e.month >= low) and (high is None or e.month <= high):
+                writes.setdefault(e.month, []).append(e)
+        return sorted(m for m, own in writes.items() if len(own) == 1 and own[0].unique)
 
     # ------------------------------------------------------------- audit log
 
@@ -159,8 +178,8 @@ class Lake:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         entry = {"started_at": now, "finished_at": now, "row_count": 0, **entry}
         one = self.spark.createDataFrame([tuple(entry.get(c) for c in spec.columns)], spec.schema)
-        stamped = one.withColumn(S.INGEST_SEQ, F.lit(load_id or new_load_id()).cast("bigint"))
-        (
-            stamped.withColumn(S.MONTH, N.month_key("run_date")).coalesce(1)
-            .write.mode("append").partitionBy(S.MONTH).parquet(self.path("sync_task_log"))
-        )
+        load_id = load_id or new_load_id()
+        stamped = one.withColumn(S.INGEST_SEQ, F.lit(load_id).cast("bigint"))
+        manifest = self.manifest("sync_task_log")
+        written = self._write("sync_task_log", stamped, load_id)
+        manifest.switch([*manifest.entries(), *written])

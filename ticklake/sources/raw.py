@@ -50,8 +50,9 @@ def with_path_code(raw: DataFrame, pattern: str = r"([0-9A-Za-z]+\.[A-Z]{2,3})[^
     return raw.withColumn(present, F.coalesce(N.clean_text(F.col(present).cast("string")), from_path))
 
 
-def normalize(raw: DataFrame, table: str, fixed: dict[str, Column] | None = None) -> DataFrame:
-    """All columns of ``table``, cleaned and typed; absent ones are NULL. Keeps every row."""
+def normalize(raw: DataFrame, table: str, fixed: dict[str, Column] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """All columns of ``table``, cleaned and typed; absent ones are NULL. Keeps every row, and the columns ``keep`` as they are, such
+    as the drop's order of arrival."""
     fixed = fixed or {}
     raw = clean_names(raw)
     columns = []
@@ -64,7 +65,7 @@ def normalize(raw: DataFrame, table: str, fixed: dict[str, Column] | None = None
         else:
             value = N.typed(F.col(f"`{source}`"), raw.schema[source].dataType, field.dataType)
         columns.append(value.alias(field.name))
-    return raw.select(*columns)
+    return raw.select(*columns, *[F.col(f"`{c}`") for c in keep])
 
 
 def accepted(rows: DataFrame, table: str) -> DataFrame:
@@ -76,20 +77,20 @@ def accepted(rows: DataFrame, table: str) -> DataFrame:
 
 # ----------------------------------------------------------------- one reader per drop
 
-def calendar(raw: DataFrame, market: str | None = None) -> DataFrame:
+def calendar(raw: DataFrame, market: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     fixed = {"market": F.lit(market)} if market else {}
-    return accepted(normalize(raw, "trade_calendar", fixed), "trade_calendar")
+    return accepted(normalize(raw, "trade_calendar", fixed, keep), "trade_calendar")
 
 
-def code_info(raw: DataFrame, security_type: str | None = None) -> DataFrame:
+def code_info(raw: DataFrame, security_type: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     fixed = {"security_type": F.lit(security_type)} if security_type else {}
-    rows = accepted(normalize(raw, "code_info", fixed), "code_info")
+    rows = accepted(normalize(raw, "code_info", fixed, keep), "code_info")
     return rows.where(N.keep_code("code", "security_type"))
 
 
-def membership(raw: DataFrame, security_type: str | None = None) -> DataFrame:
+def membership(raw: DataFrame, security_type: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     fixed = {"security_type": F.lit(security_type)} if security_type else {}
-    return accepted(normalize(raw, "hist_code_daily", fixed), "hist_code_daily")
+    return accepted(normalize(raw, "hist_code_daily", fixed, keep), "hist_code_daily")
 
 
 def factors(raw_wide: DataFrame, factor_type: str, date_column: str = "trade_date") -> DataFrame:
@@ -100,14 +101,14 @@ def factors(raw_wide: DataFrame, factor_type: str, date_column: str = "trade_dat
     return accepted(normalize(rows, "price_factor", {"factor_type": F.lit(factor_type)}), "price_factor")
 
 
-def stock_basic(raw: DataFrame, snapshot_date) -> DataFrame:
+def stock_basic(raw: DataFrame, snapshot_date, keep: Sequence[str] = ()) -> DataFrame:
     """Stock profiles are stamped with the day they were taken."""
     fixed = {"snapshot_date": F.lit(snapshot_date)}
-    return accepted(normalize(raw, "stock_basic", fixed), "stock_basic")
+    return accepted(normalize(raw, "stock_basic", fixed, keep), "stock_basic")
 
 
-def status(raw: DataFrame) -> DataFrame:
-    return accepted(normalize(raw, "history_stock_status"), "history_stock_status")
+def status(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return accepted(normalize(raw, "history_stock_status", keep=keep), "history_stock_status")
 
 
 def _need_time(raw: DataFrame) -> None:
@@ -115,15 +116,15 @@ def _need_time(raw: DataFrame) -> None:
         raise ValueError(f"no time column among {raw.columns}")
 
 
-def kline(raw: DataFrame, period: str = "day") -> DataFrame:
+def kline(raw: DataFrame, period: str = "day", keep: Sequence[str] = ()) -> DataFrame:
     _need_time(raw)
     table = {"day": "kline_daily", "min1": "kline_minute"}[period]
-    return accepted(normalize(raw, table), table)
+    return accepted(normalize(raw, table, keep=keep), table)
 
 
-def snapshot(raw: DataFrame) -> DataFrame:
+def snapshot(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     _need_time(raw)
-    return accepted(normalize(raw, "market_snapshot"), "market_snapshot")
+    return accepted(normalize(raw, "market_snapshot", keep=keep), "market_snapshot")
 
 
 # ----------------------------------------------------------------- membership per trading day
@@ -138,13 +139,18 @@ def trading_days(calendar_rows: DataFrame, begin, end) -> DataFrame:
 
 
 def membership_daily(intervals: DataFrame, days: DataFrame) -> DataFrame:
-    """One row per trading day and member, from membership intervals (``in_date`` .. ``out_date``).
+    """One row per trading day and member, from membership intervals (``in_date`` .. ``out_date``, both included).
 
-    The interval is opened into its days, which turns the range join into an equi-join on the date.
+    A member without ``out_date`` is still one, a member without ``in_date`` always was. Intervals are cut to the first and
+    last asked day (two dates that the driver reads) and then opened into days, which turns the range join into an
+    equi-join on the date without a row for any day that nobody asked for.
     """
-    opened = intervals.select(
-        "security_type", "code",
-        F.explode(F.sequence("in_date", "out_date", F.expr("interval 1 day"))).alias("trade_date"),
-    )
-    joined = lookup_join(opened, days.select("trade_date").distinct(), ["trade_date"], "left_semi")
+    days = days.select("trade_date").distinct()
+    first, last = days.agg(F.min("trade_date"), F.max("trade_date")).first()
+    if first is None:
+        return intervals.sparkSession.createDataFrame([], "trade_date date, security_type string, code string")
+    start, end = (F.lit(d).cast("date") for d in (first, last))
+    cut = intervals.select("security_type", "code", F.greatest(F.coalesce("in_date", start), start).alias("a"), F.least(F.coalesce("out_date", end), end).alias("b"))
+    opened = cut.where("a <= b").select("security_type", "code", N.natural_days(F.col("a"), F.col("b")).alias("trade_date"))
+    joined = lookup_join(opened, days, ["trade_date"], "left_semi")
     return joined.select("trade_date", "security_type", "code").distinct()

@@ -2,24 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticklake.functions import normalize as N
-from ticklake.operators.bars import ticks_to_bars
+from ticklake.operators.bars import bars_of_ticks
+from ticklake.sources.lake import Lake
 
 WATERMARK = "5 minutes"
 
 
-def stream_bars(ticks: DataFrame, minutes: int = 1, delay: str = WATERMARK, column: str = "trade_time") -> DataFrame:
-    """Repeated ticks are dropped and ticks later than ``delay`` ignored; a bar is emitted once, when
-    the watermark has passed its end. State holds the ticks and open bars of the last ``delay`` only."""
+def stream_bars(
+    ticks: DataFrame, minutes: int = 1, delay: str = WATERMARK, column: str = "trade_time", order: Sequence[str] = ()
+) -> DataFrame:
+    """Bars of a stream of ticks, by the same rule as in batch: of several ticks of a code at one instant the last by
+    ``order`` counts. Ticks later than ``delay`` are ignored; a bar is emitted once, when the watermark has passed its
+    end. State holds the ticks and open bars of the last ``delay`` only."""
+    by = [*order, *[c for c in ("last", "volume", "amount") if c not in order]]
     marked = ticks.withColumn(column, N.wall_to_instant(column)).withWatermark(column, delay)
-    bars = ticks_to_bars(marked.dropDuplicatesWithinWatermark(["code", column]), minutes, column)
-    return bars.withColumn("trade_time", N.instant_to_wall("trade_time"))
+    instants = marked.groupBy("code", F.window(column, "1 microsecond").alias("at")).agg(F.max(F.struct(*by)).alias("tick"))
+    once = instants.select("code", F.window_time("at").alias(column), "tick.last", "tick.volume", "tick.amount")
+    return bars_of_ticks(once, minutes, column).withColumn("trade_time", N.instant_to_wall("trade_time"))
+
+
+def stream_into_lake(
+    ticks: DataFrame, lake: Lake, checkpoint: str, minutes: int = 1, delay: str = WATERMARK, order: Sequence[str] = ()
+) -> DataFrame:
+    """Work off everything that has arrived and append its bars to the lake's minute bars, one load per batch.
+
+    A batch that is repeated after a failure is a later load of the same keys, of which reads keep one. Returns the table.
+    """
+    def append(bars: DataFrame, batch: int) -> None:
+        if not bars.isEmpty():
+            lake.append("kline_minute", bars)
+
+    query = (
+        stream_bars(ticks, minutes, delay, order=order).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).foreachBatch(append).start()
+    )
+    query.awaitTermination()
+    return lake.read("kline_minute")
 
 
 def run_stream_bars(
-    ticks: DataFrame, out: str, checkpoint: str, minutes: int = 1, delay: str = WATERMARK
+    ticks: DataFrame, out: str, checkpoint: str, minutes: int = 1, delay: str = WATERMARK,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Work off everything that has arrived, then stop; the next run continues from ``checkpoint``.
 
@@ -27,7 +55,7 @@ def run_stream_bars(
     Returns the bars written so far.
     """
     spark: SparkSession = ticks.sparkSession
-    bars = stream_bars(ticks, minutes, delay)
+    bars = stream_bars(ticks, minutes, delay, order=order)
     query = (
         bars.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
