@@ -153,7 +153,8 @@ def _extend(window: int, cells: int, digest: bool):
         for row, text, hashed in _documents(texts):
             found = np.zeros(0, np.int64)
             if len(hashed) >= window and len(known) and ids[row] is not None:
-                hits = np.isin(_anchor_keys(words.window_hashes(hashed, block), cells), known)
+                probes = _anchor_keys(words.window_hashes(hashed, block), cells)
+                hits = known[np.minimum(np.searchsorted(known, probes), len(known) - 1)] == probes
                 before = np.concatenate([[0], np.cumsum(hits)])
                 reach = window - block + 1  # places of a block inside a window
                 found = np.flatnonzero(before[reach:] - before[:-reach] > 0) if hits.any() else found
