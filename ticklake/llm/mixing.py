@@ -27,7 +27,7 @@ def count_words(text: Column) -> Column:
 def letter_share(text: Column) -> Column:
     """A simple quality weight in [0.05, 1]: the share of letters among the characters."""
     letters = F.length(F.regexp_replace(text, "[^\\p{L}]+", ""))
-    return F.greatest(F.lit(0.05), F.coalesce(letters / F.length(text), F.lit(0.0)))
+    return F.greatest(F.lit(0.05), F.coalesce(F.try_divide(letters, F.length(text)), F.lit(0.0)))
 
 
 def uniform(*identity: Column) -> Column:
