@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ticklake.llm import ball_tree, byte_bpe, embedding_dedup, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, token_files, toxicity
 from ticklake.llm.common import read_table
+from ticklake.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,5 +93,3 @@ QUERIES: dict[str, Query] = {
         op1_minhash_dedup, op2_ball_tree, op3_toxicity, op4_line_dedup, op5_byte_bpe, op6_token_counts, op7_substring_dedup,
         op8_token_files, op9_embedding_dedup, op10_mixing)
 }
-
-ORACLE: dict[str, str] = {}
