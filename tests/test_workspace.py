@@ -37,3 +37,10 @@ def test_discarded_tables_are_gone(spark):
     assert os.path.isdir(kept.settled_at)
     workspace.discard(kept)
     assert not os.path.isdir(kept.settled_at)
+
+
+def test_sweep_takes_old_tables_only(spark):
+    kept = workspace.settle(spark.range(10))
+    workspace.sweep(spark, 1.0)
+    assert kept.count() == 10
+    assert workspace.sweep(spark, -1.0) > 0 and not os.path.isdir(kept.settled_at)

@@ -13,7 +13,6 @@ EXCHANGE_ZONE = "Asia/Shanghai"
 _BLANKS = " \t\r\n\f\v"
 # there is no year 0
 _DAY = r"^(?!0000)\d{8}$"
-_STAMP = r"^(?!0000)(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(\d{3})$"
 
 
 def _col(c: Column | str) -> Column:
@@ -76,8 +75,11 @@ def text_to_time(c: Column | str) -> Column:
     The cast goes through an ISO string to ``timestamp_ntz``, so the session zone plays no part.
     """
     digits = _digits(c)
-    iso = F.regexp_replace(F.rpad(digits, 17, "0"), _STAMP, "$1-$2-$3 $4:$5:$6.$7")
-    return F.when(F.length(digits).isin(8, 12, 14, 17), iso.try_cast("timestamp_ntz"))
+    full = F.rpad(digits, 17, "0")
+    parts = [F.lit(sep) if isinstance(sep, str) else F.substring(full, *sep)
+             for sep in ((1, 4), "-", (5, 2), "-", (7, 2), " ", (9, 2), ":", (11, 2), ":", (13, 2), ".", (15, 3))]
+    known = F.length(digits).isin(8, 12, 14, 17) & ~digits.startswith("0000")  # there is no year 0
+    return F.when(known, F.concat(*parts).try_cast("timestamp_ntz"))
 
 
 def instant_to_time(c: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,3 +36,17 @@ def discard(*tables: DataFrame) -> None:
         jvm = table.sparkSession._jvm
         path = jvm.org.apache.hadoop.fs.Path(table.settled_at)
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sweep(spark: SparkSession, older_than_hours: float) -> int:
+    """Delete scratch tables that were made longer ago; how many. Lazy frames read theirs until they are done, so leave
+    more time than the longest job takes."""
+    jvm, deleted = spark._jvm, 0
+    root = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/ticklake")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    for purpose in fs.listStatus(root) if fs.exists(root) else []:
+        for table in fs.listStatus(purpose.getPath()):
+            if table.getModificationTime() < limit:
+                deleted += fs.delete(table.getPath(), True)
+    return deleted
