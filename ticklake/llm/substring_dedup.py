@@ -8,7 +8,7 @@ document that holds it; neighbouring covered windows make up the maximal repeats
 
 Hashes travel packed: a chunk of documents sends each cell of the hash range one sorted array with every hash
 once, so text that many documents share costs one entry per chunk, and a cell sends back what a chunk needs to know. Anchors
-travel as short fragments, since a false anchor costs only a look-up; windows are compared by 96 bits more.
+travel as short fragments, since a false anchor costs only a look-up; windows are compared by 95 bits of hash.
 """
 
 from __future__ import annotations
