@@ -2,8 +2,8 @@
 
 The model mixes predictions of order 0 to 2. The last two ids and the last id each name an id that followed them
 before, with a confidence; how often predictions of a confidence come true is learnt, and gives each prediction its share of
-the probability. The rest goes to the order-0 model, adaptive frequencies of the high bytes with plain low
-bytes. Every block starts with an empty model, so blocks are coded side by side (a numpy lane each) and read independently.
+the probability. The rest goes to the order-0 model, adaptive frequencies of the high bytes; low bytes, which
+it takes for evenly spread, stand beside the coder's words as they are. Every block starts with an empty model, so blocks are coded side by side (a numpy lane each) and read independently.
 
 The coder keeps 48 bits. It puts out 16 bits whenever its range falls below 2**32, and cuts the range at a multiple of 2**32
 where a carry could still reach bits that are out already.
@@ -134,14 +134,16 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         if len(blocks[i]) and (int(blocks[i].max()) > MAX_ID or int(blocks[i].min()) < 0):
             raise ValueError("ids must be in 0..65535")
         ids[:len(blocks[i]), lane] = blocks[i]
-    out, filled = np.zeros((len(order), 2 * n + 8), np.uint16), np.zeros(len(order), np.int64)
+    # at most 16 bits go out for 16 bits of an id's share, and a cut of the range costs 16 more at times
+    out, filled = np.zeros((len(order), n + 8), np.uint16), np.zeros(len(order), np.int64)
+    low, literals = np.zeros((len(order), n), np.uint8), np.zeros(len(order), np.int64)
 
-    def put(lanes: np.ndarray, low: np.ndarray) -> None:
+    def put(lanes: np.ndarray, ends: np.ndarray) -> None:
         nonlocal out
         places = filled[lanes]
         if places.max() >= out.shape[1]:
             out = np.concatenate([out, np.zeros_like(out)], axis=1)
-        out[lanes, places] = low >> _HALF
+        out[lanes, places] = ends >> _HALF
         filled[lanes] = places + 1
 
     model, coder = _Model(len(order)), _Range(len(order), put)
@@ -157,14 +159,15 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         plain = np.flatnonzero(~(is1 | is2))
         start[plain], share[plain] = model.literal(plain, own[plain] >> 8)
         coder.narrow(some, coder.size[some] >> _TOTAL, start, share)
-        coder.narrow(plain, coder.size[plain] >> _TOTAL, (own[plain] & 255) << 8, np.full(len(plain), 256))
+        low[plain, literals[plain]] = own[plain]
+        literals[plain] += 1
         model.update(own)
-    low = coder.low
     coded: list[bytes] = [b""] * len(blocks)
     for lane, i in enumerate(order):
         if len(blocks[i]):
-            tail = [(int(low[lane]) >> s) & 0xFFFF for s in (32, 16, 0)]
-            coded[i] = np.concatenate([out[lane, :filled[lane]], np.array(tail, np.uint16)]).astype("<u2").tobytes()
+            tail = [(int(coder.low[lane]) >> s) & 0xFFFF for s in (32, 16, 0)]
+            words = np.concatenate([out[lane, :filled[lane]], np.array(tail, np.uint16)]).astype("<u2")
+            coded[i] = len(words).to_bytes(4, "little") + words.tobytes() + low[lane, :literals[lane]].tobytes()
     return coded
 
 
@@ -175,22 +178,21 @@ def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     if not len(lengths) or not lengths[0]:
         return [np.zeros(0, np.int32) for _ in coded]
     n = int(lengths[0])
-    words = np.zeros((len(order), max(len(coded[i]) for i in order) // 2 + 8), np.uint64)
+    words = np.zeros((len(order), max(len(coded[i]) for i in order) // 2 + 8), np.uint16)
+    low, literals = np.zeros((len(order), n + 1), np.uint8), np.zeros(len(order), np.int64)
     for lane, i in enumerate(order):
-        own = np.frombuffer(coded[i], "<u2")
-        words[lane, :len(own)] = own
-    code = words[:, 0] << _HALF | words[:, 1] << _WORD | words[:, 2]
+        end = 4 + 2 * int.from_bytes(coded[i][:4], "little")
+        own, rest = np.frombuffer(coded[i][4:end], "<u2"), np.frombuffer(coded[i][end:], np.uint8)
+        words[lane, :len(own)], low[lane, :len(rest)] = own, rest
+    first = words[:, :3].astype(np.uint64)
+    code = first[:, 0] << _HALF | first[:, 1] << _WORD | first[:, 2]
     taken = np.full(len(order), 3, np.int64)
     ids = np.zeros((n, len(order)), np.int32)
 
-    def take(lanes: np.ndarray, low: np.ndarray) -> None:
-        code[lanes] = (code[lanes] << _WORD | words[lanes, taken[lanes]]) & _WORD_MASK
+    def take(lanes: np.ndarray, ends: np.ndarray) -> None:
+        code[lanes] = (code[lanes] << _WORD | words[lanes, taken[lanes]].astype(np.uint64)) & _WORD_MASK
         taken[lanes] += 1
 
-    def value(lanes: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
-        unit = coder.size[lanes] >> _TOTAL
-        return np.minimum((code[lanes] - coder.low[lanes]) // unit, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int64), unit
-
     model, coder = _Model(len(order)), _Range(len(order), take)
     for step in range(n):
         lanes = int(np.searchsorted(-lengths, -step, "left"))
@@ -198,7 +200,8 @@ def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             model.keep(lanes)
         some = slice(lanes)
         model.predict()
-        at, unit = value(some)
+        unit = coder.size[some] >> _TOTAL
+        at = np.minimum((code[some] - coder.low[some]) // unit, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int64)
         is2 = at < model.share2
         own = np.where(is2, model.guess[1], model.guess[0])
         share = np.where(is2, model.share2, model.share1)
@@ -207,9 +210,8 @@ def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         high = model.slot(plain, (((at[plain] - model.given[plain] + 1) << _LITERAL_BITS) - 1) // model.rest[plain])
         start[plain], share[plain] = model.literal(plain, high)
         coder.narrow(some, unit, start, share)
-        at, unit = value(plain)
-        coder.narrow(plain, unit, (at >> 8) << 8, np.full(len(plain), 256))
-        own[plain] = high << 8 | at >> 8
+        own[plain] = high << 8 | low[plain, literals[plain]]
+        literals[plain] += 1
         ids[step, :lanes] = own
         model.update(own)
     found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(coded)

@@ -7,14 +7,15 @@ unsigned 32-bit integers, and its bytes from the range coder. Blocks are indepen
 checksum and named. Segments carry their part (a range of keys) and the ids before them in the part; parts are numbered in the
 order of the keys.
 
-The library is asked once per distinct run of non-space characters and task: its normalizer and splitter never join or look
-across white space, so the ids of a text are those of its runs one after another. ``independent_runs`` checks on
+The library is asked once per distinct run of non-space characters (and per punctuation mark after a letter) and worker: its
+normalizer and splitter never join or look across white space, so the ids of a text are those of its runs one after another. ``independent_runs`` checks on
 load that a tokenizer is of that kind; another one gets whole texts.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -55,6 +56,7 @@ def independent_runs(spec: dict) -> bool:
 
 @lru_cache(2)
 def tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
@@ -62,6 +64,12 @@ def tokenizer(path: str):
         return own, independent_runs(json.load(file))
 
 
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder, which keeps what it knows from task to task."""
+    return Encoder(path)
+
+
 class Encoder:
     """Texts to ids; remembers the ids of the runs that it has seen."""
 
@@ -95,8 +103,12 @@ class Encoder:
             return np.array([i for x in found for i in x], np.int32), np.array([len(x) for x in found], np.int64)
         if len(self.known) > KNOWN_RUNS:
             self.forget()
-        runs = pc.ascii_split_whitespace(texts)
-        per_text, coded = runs.value_lengths().to_numpy().astype(np.int64), runs.flatten().dictionary_encode()
+        # the splitter always cuts between an ASCII letter and these marks; fewer distinct runs are left
+        runs = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, r"([A-Za-z])([.,;:!?])", r"\1 \2"))
+        per_text, flat = runs.value_lengths().to_numpy().astype(np.int64), runs.flatten()
+        # so do those that differ by case; not where the normalizer could compose, nor in what may be a special token
+        plain = pc.and_(pc.string_is_ascii(flat), pc.invert(pc.match_substring(flat, "<")))
+        coded = pc.if_else(plain, pc.ascii_lower(flat), flat).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         new = [x for x in distinct if x not in self.known]
         if new:
@@ -139,14 +151,14 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer_file: str, end_id:
     ordered = rows.repartitionByRange(parts, "key", "tie").sortWithinPartitions("key", "tie", "text").select("key", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder, seq, start = TaskContext.get().partitionId(), Encoder(tokenizer_file), 0, 0
+        part, known, seq, start = TaskContext.get().partitionId(), encoder(tokenizer_file), 0, 0
         keys, sizes, ids = [], [], []
 
         def flush() -> pa.Table:
             return _segments(part, keys, np.concatenate(sizes), np.concatenate(ids), seq, start)
 
         for batch in small_batches(batches):
-            found, counts = encoder.encode(batch.column(1), end_id)
+            found, counts = known.encode(batch.column(1), end_id)
             keys += batch.column(0).to_pylist()
             sizes.append(counts)
             ids.append(found)
