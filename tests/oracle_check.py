@@ -63,6 +63,8 @@ def main() -> int:
     spark.sparkContext.setLogLevel("OFF")
     con, sqls, bad = duck(sf), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
+        if name not in sqls:
+            continue  # no SQL can express it; its tests hold it against a plain version
         if sys.argv[2:] and name not in sys.argv[2:]:
             continue
         start = time.time()
