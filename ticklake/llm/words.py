@@ -20,19 +20,22 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTE_BASE = 0x9E3779B97F4A7C15
 #: odd bases of the window hashes; two of them together are a 128-bit hash
 WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
-@lru_cache(4)
 def _table(base: int, size: int) -> np.ndarray:
     powers = np.full(size, base, np.uint64)
     powers[0] = 1
     return np.cumprod(powers, dtype=np.uint64)
 
 
+_kept_table = lru_cache(24)(_table)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """``base**i`` for i < n modulo 2**64."""
-    return _table(base, 1 << max(16, int(n - 1).bit_length()))[:n]
+    """``base**i`` for i < n modulo 2**64; tables up to the size of a chunk are kept, those of longer texts are not."""
+    size = 1 << max(12, int(n - 1).bit_length())
+    return (_kept_table if size <= CHUNK_BYTES else _table)(base, size)[:n]
 
 
 @lru_cache(16)
