@@ -97,6 +97,35 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix((sums[ends] - sums[starts]) * powers(_inverse(_BYTE_BASE), len(data))[starts])
 
 
+def word_table(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, the index of each row's first word (one entry more than rows), and the words' hashes.
+
+    The bytes of a long row are looked at a chunk at a time, cut at white space, so that only word-level arrays grow with it.
+    """
+    if len(data) <= 2 * CHUNK_BYTES or len(offsets) > 2:
+        starts, ends, at = spans(data, offsets)
+        return starts, ends, at, word_hashes(data, starts, ends, lower)
+    parts, begin = [], 0
+    while begin < len(data):
+        end = cut_at_space(data, begin + CHUNK_BYTES)
+        piece = data[begin:end]
+        starts, ends, _ = spans(piece, np.array([0, len(piece)]))
+        parts.append((starts + begin, ends + begin, word_hashes(piece, starts, ends, lower)))
+        begin = end
+    starts, ends, hashed = (np.concatenate(x) for x in zip(*parts))
+    return starts, ends, np.array([0, len(starts)]), hashed
+
+
+def cut_at_space(data: np.ndarray, at: int) -> int:
+    """The first place from ``at`` on where a white-space byte stands; the end if there is none."""
+    while at < len(data):
+        found = np.flatnonzero(SPACES[data[at:at + CHUNK_BYTES]])
+        if len(found):
+            return at + int(found[0])
+        at += CHUNK_BYTES
+    return len(data)
+
+
 def window_hashes(words: np.ndarray, length: int, base: int = WINDOW_BASES[0]) -> np.ndarray:
     """Hash of the ``length`` words from each position on; empty when there are fewer words."""
     n = len(words)
