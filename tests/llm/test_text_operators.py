@@ -324,5 +324,5 @@ def test_skewed_sources_are_shared_again(spark):
 def test_the_queries_are_registered_without_gaps():
     from ticklake.llm.queries import QUERIES
 
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert os.path.exists(P.path("word_bpe_49k.json"))
