@@ -42,11 +42,28 @@ def sketch(text: Column) -> Column:
         places = F.when(n > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
         found = F.transform(places, lambda i: F.md5(F.array_join(F.slice(w, i, SHINGLE_WORDS), " ").cast("binary")))
         kept = F.when(last <= WHOLE, found).otherwise(F.filter(found, lambda h: h < BOUND))
-        return F.struct((last <= WHOLE).alias("whole"), F.array_sort(F.array_distinct(F.transform(kept, lambda h: F.substring(h, 1, HASH_DIGITS)))).alias("hashes"))
+        return F.struct((last <= WHOLE).alias("whole"), F.sort_array(F.array_distinct(F.transform(kept, lambda h: F.substring(h, 1, HASH_DIGITS)))).alias("hashes"))
 
     return _let(words, hashes)
 
 
+def pack(of: Column) -> Column:
+    """A sketch as bytes: one that says whether it is whole, then eight per hash. For shuffles and files."""
+    return F.unhex(F.concat(F.when(of["whole"], "01").otherwise("00"), F.array_join(of["hashes"], "")))
+
+
+def unpack(name: str) -> Column:
+    """The sketch in a column of packed ones, under the same name."""
+    digits = F.lower(F.hex(name))
+
+    def hashes(text: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor(F.length(text) / HASH_DIGITS).cast("int") - 1)
+        listed = F.transform(places, lambda i: F.substring(text, i * HASH_DIGITS + 3, F.lit(HASH_DIGITS)))
+        return F.struct(text.startswith("01").alias("whole"), F.when(F.length(text) > 2, listed).otherwise(F.array().cast("array<string>")).alias("hashes"))
+
+    return _let(digits, hashes).alias(name)
+
+
 def _below(a: Column, b: Column) -> Column:
     """The hashes of ``a`` that can be compared with those of ``b``."""
     return F.when(a["whole"] & ~b["whole"], F.filter(a["hashes"], lambda h: h < BOUND)).otherwise(a["hashes"])
@@ -73,7 +90,7 @@ def containment(a: Column, b: Column) -> Column:
 
 def merge(a: Column, b: Column) -> Column:
     """The sketch of two texts together."""
-    return F.struct((a["whole"] & b["whole"]).alias("whole"), F.array_sort(F.array_union(_below(a, b), _below(b, a))).alias("hashes"))
+    return F.struct((a["whole"] & b["whole"]).alias("whole"), F.sort_array(F.array_union(_below(a, b), _below(b, a))).alias("hashes"))
 
 
 def fingerprint(of: Column) -> Column:
@@ -114,16 +131,17 @@ def edited_fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("key"), plain.alias("text"), F.xxhash64(plain).alias("tie"))
     rows = rows.withColumn("doc", F.concat(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit("/"), F.hex("tie")))
     followers = _followers(rows.select("key", "tie", "doc", F.length("text").cast("long").alias("n_chars")))
-    texts = rows.select("doc", "text", sketch(F.col("text")).alias("sketch"))
+    # both joins read the same columns of this frame, so that its shuffle is done once
+    texts = rows.select("doc", "text", pack(sketch(F.col("text"))).alias("sketch"))
 
-    once = texts.groupBy("doc").agg(F.first("text").alias("text"), F.first("sketch").alias("sketch"))
     taken = F.floor(F.col("n_chars") / 4).cast("int")
     asked = followers.select(F.col("doc").alias("target"), "key", "n_chars", taken.alias("taken"), F.col("next").alias("doc"))
-    given = once.join(asked.hint("shuffle_merge"), "doc").select(
-        F.col("target").alias("doc"), "key", "n_chars", "taken", F.substring(F.col("text"), F.lit(1), F.col("taken")).alias("begins"), F.col("sketch").alias("next_sketch"))
+    found = texts.join(asked.hint("shuffle_merge"), "doc").withColumn("begins", F.substring(F.col("text"), F.lit(1), F.col("taken")))
+    # rows that repeat the next document give the same
+    given = found.groupBy(F.col("target").alias("doc")).agg(*[F.first(c).alias(c) for c in ("key", "n_chars", "taken", "begins")], F.first("sketch").alias("next_sketch"))
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.col("taken")).cast("int"))
     joined = texts.join(given.hint("shuffle_merge"), "doc")
-    edited = joined.select("key", "n_chars", F.concat(kept, "begins").alias("edited_text"), "sketch", "next_sketch")
+    edited = joined.select("key", "n_chars", F.concat(kept, "begins").alias("edited_text"), unpack("sketch"), unpack("next_sketch"))
     edited = edited.withColumn("edited_sketch", sketch(F.col("edited_text")))
     return edited.select(
         F.col("key").alias(key), "n_chars", "edited_text", fingerprint(F.col("sketch")).alias("fingerprint"), fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
