@@ -2,6 +2,8 @@ import hashlib
 import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -326,3 +328,27 @@ def test_the_queries_are_registered_without_gaps():
 
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert os.path.exists(P.path("word_bpe_49k.json"))
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 900, 3000))
+    texts = [text, "x" * 5000, text + " é" * 700, "a b"]
+    whole = [s.tolist() for s in words.shingle_sets(pa.array(texts), 5)]
+    monkeypatch.setattr(words, "CHUNK_BYTES", 256)
+    assert [s.tolist() for s in words.shingle_sets(pa.array(texts), 5)] == whole
+    assert [s.tolist() for s in words.shingle_sets(pa.array(texts[::-1]), 5)] == whole[::-1]
+
+
+def test_a_text_of_50_mb_needs_little_memory():
+    """Shingles of one huge text in a process of its own: beside the text and its set, only word-level arrays grow."""
+    code = (
+        "import resource, numpy as np, pyarrow as pa\n"
+        "from ticklake.llm import words\n"
+        "t = pa.array([' '.join(map(str, range(6_600_000)))], pa.large_string())\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "n = sum(len(s) for s in words.shingle_sets(t, 5))\n"
+        "print(t.nbytes >> 20, n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)\n")
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    size, n, more = map(int, run.stdout.split())
+    assert size >= 45 and n == 6_600_000 - 4 and more < 500, run.stdout

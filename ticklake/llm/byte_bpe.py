@@ -54,7 +54,11 @@ def encode(docs: DataFrame, key: str, text: str, rank_file: str, pattern: str, p
     def run(batches):
         own = encoding(rank_file, pattern)
         for batch in small_batches(batches):
-            ids = [np.array([i for piece in pieces(x or "", piece_chars) for i in own.encode_ordinary(piece)], "<u4") for x in batch.column(1).to_pylist()]
+            ids, last = [], None
+            for x in batch.column(1).to_pylist():
+                # copies that a mix puts one after another are encoded once
+                ids.append(ids[-1] if ids and x == last else np.array([i for piece in pieces(x or "", piece_chars) for i in own.encode_ordinary(piece)], "<u4"))
+                last = x
             column = pa.array([x.tobytes() for x in ids], pa.binary()) if packed else _as_lists(ids)
             yield pa.RecordBatch.from_arrays([batch.column(0), column], [key, "ids"])
 

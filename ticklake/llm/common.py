@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ticklake.sources.workspace import discard, settle
 
-__all__ = ["attach", "discard", "in_blocks", "read_table", "settle", "small_batches", "sorted_groups"]
+__all__ = ["attach", "discard", "give_back", "in_blocks", "read_table", "settle", "small_batches", "sorted_groups"]
 
 #: what a Python worker handles at a time; a longer text comes alone
 BATCH_BYTES = 1 << 20
@@ -56,6 +58,15 @@ def small_batches(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) -
         step = max(1, int(batch.num_rows * limit / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+        del batch
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which Arrow and the C library else keep for a worker's next task."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(own := ctypes.CDLL(None), "malloc_trim"):
+        own.malloc_trim(0)
 
 
 def sorted_groups(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:

@@ -6,6 +6,7 @@ weights are averaged. L1 leaves few weights other than 0, which go to all tasks;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.llm import words
+from ticklake.llm.common import small_batches
 
 #: rows that training uses at most (about; drawn by hash), and rows of a shard
 SAMPLE_ROWS, SHARD_ROWS = 32768, 8192
@@ -39,7 +41,7 @@ def features(column: pa.Array):
 
     Features of pairs are odd numbers, those of single words even ones."""
     lowered = pc.utf8_lower(column.fill_null("").cast(pa.large_string()))
-    for first, end, data, offsets in words.chunks(lowered, 1 << 20):
+    for first, end, data, offsets in words.chunks(lowered):
         starts, ends, at = words.spans(data, offsets, _BETWEEN)
         hashed = words.word_hashes(data, starts, ends, lower=False)
         row = np.repeat(np.arange(first, end), np.diff(at))
@@ -124,13 +126,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
     return {r["feature"]: r["total"] / shards for r in taught.groupBy("feature").agg(F.sum("weight").alias("total")).collect()}
 
 
-def score_array(column: pa.Array, weights: dict[int, float]) -> np.ndarray:
-    """Scores in [0, 1] of whole texts, NULL as empty. Without weights every score is 0."""
-    if not weights:
-        return np.zeros(len(column))
+def dense_weights(weights: dict[int, float]) -> np.ndarray:
+    """What each feature adds to a score."""
     places = np.fromiter((k for k in weights if k < 1 << BITS), np.int64)
     dense = np.zeros(1 << BITS, np.float32)
     dense[places] = np.array([weights[k] for k in places]) * values(places)
+    return dense
+
+
+def score_array(column: pa.Array, weights: dict[int, float], dense: np.ndarray | None = None) -> np.ndarray:
+    """Scores in [0, 1] of whole texts, NULL as empty. Without weights every score is 0."""
+    if not weights:
+        return np.zeros(len(column))
+    dense = dense_weights(weights) if dense is None else dense
     total = np.full(len(column), weights.get(1 << BITS, 0.0))
     for rows, found in features(column):
         hit = dense[found] != 0
@@ -142,7 +150,10 @@ def score_array(column: pa.Array, weights: dict[int, float]) -> np.ndarray:
 def score(docs: DataFrame, text: str, weights: dict[int, float], into: str = "toxicity") -> DataFrame:
     """``docs`` with the score of every row in column ``into`` (replaced if there)."""
 
-    def run(column: pa.Array) -> pa.Array:
-        return pa.array(score_array(column, weights))
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        dense = dense_weights(weights)  # once per task
+        for column in columns:
+            parts = small_batches([pa.RecordBatch.from_arrays([column], ["text"])])
+            yield pa.array(np.concatenate([np.zeros(0), *[score_array(x.column(0), weights, dense) for x in parts]]))
 
     return docs.withColumn(into, F.arrow_udf(run, T.DoubleType())(F.col(text)))

@@ -20,7 +20,8 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTE_BASE = 0x9E3779B97F4A7C15
 #: odd bases of the window hashes; two of them together are a 128-bit hash
 WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-CHUNK_BYTES = 1 << 20
+#: bytes that are worked on at a time: temporary arrays and the kept tables of powers have about this many entries
+CHUNK_BYTES = 1 << 18
 
 
 def _table(base: int, size: int) -> np.ndarray:
@@ -29,13 +30,12 @@ def _table(base: int, size: int) -> np.ndarray:
     return np.cumprod(powers, dtype=np.uint64)
 
 
-_kept_table = lru_cache(24)(_table)
+_kept_table = lru_cache(8)(_table)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """``base**i`` for i < n modulo 2**64; tables up to the size of a chunk are kept, those of longer texts are not."""
-    size = 1 << max(12, int(n - 1).bit_length())
-    return (_kept_table if size <= CHUNK_BYTES else _table)(base, size)[:n]
+    """``base**i`` for i < n modulo 2**64; a worker keeps one table of the size of a chunk per base."""
+    return _kept_table(base, CHUNK_BYTES)[:n] if n <= CHUNK_BYTES else _table(base, n)
 
 
 @lru_cache(16)
@@ -131,6 +131,8 @@ def window_hashes(words: np.ndarray, length: int, base: int = WINDOW_BASES[0]) -
     n = len(words)
     if n < length:
         return np.zeros(0, np.uint64)
+    if n > CHUNK_BYTES + length:  # in pieces, for bounded temporary arrays
+        return np.concatenate([window_hashes(words[i:i + CHUNK_BYTES + length - 1], length, base) for i in range(0, n - length + 1, CHUNK_BYTES)])
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(words * powers(base, n), out=sums[1:])
     return mix((sums[length:] - sums[:-length]) * powers(_inverse(base), n)[:n - length + 1])
@@ -140,8 +142,7 @@ def shingle_sets(column: pa.Array, length: int, lower: bool = True) -> Iterator[
     """Per row the sorted distinct hashes of its ``length``-word shingles; with fewer words the whole
     sequence is the only one, without words the set is empty."""
     for first, end, data, offsets in chunks(column):
-        starts, ends, at = spans(data, offsets)
-        hashed = word_hashes(data, starts, ends, lower)
+        _, _, at, hashed = word_table(data, offsets, lower)
         windows = window_hashes(hashed, length)
         for row in range(end - first):
             a, b = at[row], at[row + 1]
