@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ticklake.functions.normalize import clean_text, code_list
 from ticklake.sources.workspace import settle
@@ -16,12 +16,16 @@ MAX_BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
-def lookup_bytes(lookup: DataFrame) -> int:
-    """Bytes of a lookup's rows, each as Spark keeps it: text by length, anything else as eight bytes."""
+def row_bytes(lookup: DataFrame) -> Column:
+    """Bytes of a row as Spark keeps it: text by length, anything else as eight bytes."""
     size = F.lit(16)
     for field in lookup.schema.fields:
         size = size + (F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if isinstance(field.dataType, T.StringType) else F.lit(8))
-    return lookup.agg(F.sum(size)).first()[0] or 0
+    return size
+
+
+def lookup_bytes(lookup: DataFrame) -> int:
+    return lookup.agg(F.sum(row_bytes(lookup))).first()[0] or 0
 
 
 def lookup_join(

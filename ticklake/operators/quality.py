@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def load_stats(rows: DataFrame, date_column: str, previous: DataFrame | None = None) -> DataFrame:
@@ -31,3 +31,9 @@ def reject_counts(rows: DataFrame, mandatory: Sequence[str]) -> DataFrame:
         F.count_if(any_missing).alias("rejected"),
         F.count_if(~any_missing).alias("kept"),
     )
+
+
+def reject_reason(mandatory: Sequence[str]) -> Column:
+    """Which mandatory fields a row lacks, as ``missing code, trade_time``; NULL for a good row."""
+    lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in mandatory]))
+    return F.when(F.size(lacking) > 0, F.concat(F.lit("missing "), F.array_join(lacking, ", ")))

@@ -101,8 +101,16 @@ def incremental_select(
     """
     wanted = date_range(raw, date_column, begin, end)
     latest = group_watermarks(target, wanted, group, date_column, recent_since)
+    return past_watermarks(raw, latest, lookup_bytes(latest), group, date_column, begin, end, lookback_days)
+
+
+def past_watermarks(
+    raw: DataFrame, latest: DataFrame, size: int, group: Sequence[str], date_column: str, begin=None, end=None, lookback_days: int = 0
+) -> DataFrame:
+    """The same with watermarks that are known, such as ``Lake.watermarks``: (group, latest_date) of at most ``size`` bytes. Runs no job."""
+    wanted = date_range(raw, date_column, begin, end)
     usable = latest.where(N.valid_watermark("latest_date").isNotNull())
-    joined = lookup_join(wanted, usable, group, "left", lookup_bytes(latest))
+    joined = lookup_join(wanted, usable, group, "left", size)
     start = N.incremental_start("latest_date", None, lookback_days)
     past = F.col(date_column).cast("date") >= start
     return joined.where(F.col("latest_date").isNull() | past).select(*raw.columns)

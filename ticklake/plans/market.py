@@ -161,6 +161,13 @@ class MarketLake:
             force=force, lookback_days=lookback_days, order=self.order,
         ).row_count
 
+    def sync_late_kline(self, code_list, begin_date=None, end_date=None, period="day", force: bool = False) -> int:
+        """Bars of any date that came after their day was loaded, and corrections; found by digests per code and day."""
+        table, _ = loads.kline_table(period)
+        name = "min1" if table == "kline_minute" else "day"
+        begin, end = _range(begin_date, end_date)
+        return loads.load_late_rows(self.lake, table, self._from("kline", name), _codes(code_list), begin, end, force=force, order=self.order).row_count
+
     # ------------------------------------------------------------- reads
 
     def get_calendar(self, data_type: str = "str", market: str = "SH") -> DataFrame:
@@ -208,7 +215,7 @@ class MarketLake:
         begin, end = _range(start_date, end_date)
         return self._serve(
             f"members of {security_type}", lambda force: self.sync_hist_code_list(security_type, begin, end, force),
-            lambda: views.hist_codes(self.lake.read("hist_code_daily"), security_type, begin, end),
+            lambda: views.hist_codes(self.lake.read("hist_code_daily", begin, end), security_type, begin, end),
         )
 
     def get_adj_factor(self, code_list) -> DataFrame:
@@ -233,11 +240,11 @@ class MarketLake:
             lambda: views.stock_basic(self.lake.read("stock_basic"), codes),
         )
 
-    def get_history_stock_status(self, code_list, begin_date=None, end_date=None) -> DataFrame:
+    def get_history_stock_status(self, code_list, begin_date=None, end_date=None, ordered: bool = True) -> DataFrame:
         codes, (begin, end) = _codes(code_list), _range(begin_date, end_date)
         return self._serve(
             "trading status", lambda force: self.sync_history_stock_status(codes, begin, end, force),
-            lambda: views.stock_status(self.lake.read("history_stock_status"), codes, begin, end),
+            lambda: views.stock_status(self.lake.read("history_stock_status", begin, end), codes, begin, end, ordered=ordered),
         )
 
     def query_kline(self, code_list, begin_date, end_date, period="day", begin_time=None, end_time=None,
@@ -247,7 +254,7 @@ class MarketLake:
         return self._serve(
             table, lambda force: self.sync_kline(codes, begin, end, period, begin_time, end_time, force),
             lambda: views.kline(
-                self.lake.read(table), codes, begin, end, begin_time, end_time, ordered,
+                self.lake.read(table, begin, end), codes, begin, end, begin_time, end_time, ordered,
                 unique_months=self.lake.unique_months(table, begin, end),
             ),
         )
@@ -262,7 +269,7 @@ class MarketLake:
         return self._serve(
             "snapshots", lambda force: self.sync_snapshot(codes, begin, end, begin_time, end_time, force),
             lambda: views.snapshot(
-                self.lake.read("market_snapshot"), codes, begin, end, begin_time, end_time, kind, ordered,
+                self.lake.read("market_snapshot", begin, end), codes, begin, end, begin_time, end_time, kind, ordered,
                 unique_months=self.lake.unique_months("market_snapshot", begin, end),
             ),
         )

@@ -354,8 +354,20 @@ ORACLE |= {
         + _latest("drop_rows", BAR_KEY, "code, trade_time, close, amount", order="arrival"),
     "load_minute_then_full_day": _with(MINUTES) + _latest("minutes", BAR_KEY, KLINE, "trade_time < DATE '2024-01-04'"),
     "load_one_factor_type": _with(FACTORS) + _latest("factors", "trade_date, code", "factor_type, trade_date, code, factor_value", "factor_type = 'adj'"),
-    "load_rejects": """SELECT 'success' AS status, count(DISTINCT (l_partkey, CAST(l_shipdate AS DATE))) FILTER (WHERE l_linenumber <> 7) AS row_count,
-        count(*) FILTER (WHERE l_linenumber = 7) AS reject_count FROM lineitem""",
+    "load_rejects": """SELECT 'success' AS status,
+        count(DISTINCT (l_partkey, CAST(l_shipdate AS DATE))) FILTER (WHERE l_linenumber <> 7 AND l_quantity <> 50 AND l_partkey % 3 = 0) AS row_count,
+        count(*) FILTER (WHERE l_linenumber = 7 OR l_quantity = 50) AS reject_count FROM lineitem""",
+    "load_quarantine": """SELECT DATE '2024-01-02' AS run_date, 'kline_daily' AS target_table, 'query_kline' AS task_name,
+        'missing ' || CASE WHEN l_linenumber <> 7 THEN 'trade_time' WHEN l_quantity <> 50 THEN 'code' ELSE 'code, trade_time' END AS reason, l_tax AS open
+        FROM lineitem WHERE l_linenumber = 7 OR l_quantity = 50""",
+    "load_late_rows": _with(BARS) + _LOADED_KLINE,
+    "compare_days": _with(BARS, f"new AS ({_latest('bars', BAR_KEY, KLINE)})", f"""old AS ({_latest(
+        "(SELECT * REPLACE (CASE WHEN ingest_seq % 5 = 0 THEN 0 ELSE close END AS close) FROM bars)", BAR_KEY, KLINE, "ingest_seq % 3 <> 1 AND code NOT LIKE '%7'")})""",
+        *[f"{t}_days AS (SELECT code, CAST(trade_time AS DATE) AS day, count(*) AS n_{n}, list_sort(list((trade_time, open, high, low, close, volume, amount))) AS rows "
+          f"FROM {t} GROUP BY ALL)" for t, n in (("new", "drop"), ("old", "stored"))])
+        + "SELECT code, day, n_drop, n_stored, CASE WHEN n_stored IS NULL THEN 'new' WHEN n_drop IS NULL THEN 'gone' WHEN a.rows = b.rows THEN 'same' "
+          "ELSE 'changed' END AS state FROM new_days a FULL JOIN old_days b USING (code, day)",
+    "watermark_state": _with(BARS) + "SELECT code, CAST(max(trade_time) AS DATE) AS latest_date FROM bars GROUP BY code",
     "membership_open": _with(MEMBERS, CALENDAR) + "SELECT DISTINCT c.trade_date, m.security_type, m.code FROM members m JOIN "
         "(SELECT DISTINCT trade_date FROM calendar WHERE market = 'SH' AND trade_date BETWEEN DATE '1996-01-01' AND DATE '1996-01-31') c "
         "ON c.trade_date >= m.trade_date AND (m.code LIKE '%3' OR c.trade_date <= m.trade_date + 5)",

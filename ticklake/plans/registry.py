@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
-from ticklake.operators import bars as B, matrix, quality, ranges, watermarks as W
+from ticklake.operators import bars as B, matrix, quality, ranges, reconcile, watermarks as W
 from ticklake.operators.dedup import latest_per_key, union_latest
 from ticklake.operators.lookup import distinct_in_order, only_codes, with_position
 from ticklake.plans import loads, views
@@ -680,16 +680,65 @@ def load_one_factor_type(spark, sf):
     return lake.latest("price_factor")
 
 
+def _drop_with_rejects(spark, sf) -> DataFrame:
+    """Line 7 comes without a code, full lots without a day."""
+    code, day = F.when(F.col("l_linenumber") != 7, F.col("l_partkey").cast("string")), F.when(F.col("l_quantity") != 50, F.col("l_shipdate").cast("date"))
+    drop = T.table(spark, sf, "lineitem").select(code.alias("code"), day.alias("trade_date"), F.col("l_tax").alias("open"))
+    return raw.normalize(drop, "kline_daily")
+
+
 @query
 def load_rejects(spark, sf):
-    """Rows without a code are left out, and counted in the log."""
-    code = F.when(F.col("l_linenumber") != 7, F.col("l_partkey").cast("string"))
-    drop = T.table(spark, sf, "lineitem").select(code.alias("code"), F.col("l_shipdate").cast("date").alias("trade_date"), F.col("l_tax").alias("open"))
+    """Rows without a code or a time are left out, and counted in the log: also for a request of some codes at the front door."""
     lake = _lake(spark)
-    loads.load_kline(lake, raw.normalize(drop, "kline_daily"), run_date=date(2024, 1, 2))
+    MarketLake(lake, _Drop(_drop_with_rejects(spark, sf))).sync_kline(_parts(spark, sf, "p_partkey % 3 = 0"), None, None)
     return lake.read("sync_task_log").select("status", "row_count", "reject_count")
 
 
+@query
+def load_quarantine(spark, sf):
+    """The same rows by reason, kept as they came."""
+    lake = _lake(spark)
+    loads.load_kline(lake, _drop_with_rejects(spark, sf), run_date=date(2024, 1, 2), quarantine=True)
+    kept = F.get_json_object("row", "$.open").cast("double")
+    return lake.read("rejected_rows").select("run_date", "target_table", "task_name", "reason", kept.alias("open"))
+
+
+def _bars_that_came_early(spark, sf) -> DataFrame:
+    """Every third line is not there yet, some have a wrong price."""
+    rows = T.daily_bars(spark, sf)
+    return rows.where("ingest_seq % 3 <> 1").withColumn("close", F.when(F.col("ingest_seq") % 5 == 0, F.lit(0.0)).otherwise(F.col("close")))
+
+
+@query
+def load_late_rows(spark, sf):
+    """Days loaded while incomplete: the watermark takes nothing more, the digests find what came late or was put right."""
+    lake, rows = _lake(spark), T.daily_bars(spark, sf)
+    loads.load_kline(lake, _bars_that_came_early(spark, sf), run_date=date(2024, 1, 2), order="ingest_seq")
+    loads.load_kline(lake, rows, run_date=date(2024, 1, 3), order="ingest_seq")
+    loads.load_late_rows(lake, "kline_daily", rows, run_date=date(2024, 1, 3), order="ingest_seq")
+    return lake.latest("kline_daily")
+
+
+@query
+def compare_days(spark, sf):
+    """State of every code and day of a drop against the table."""
+    spec = S.TABLES["kline_daily"]
+    new, old = (latest_per_key(rows, spec.key, spec.values) for rows in (T.daily_bars(spark, sf), _bars_that_came_early(spark, sf)))
+    return reconcile.compare_days(new, old.where("code NOT LIKE '%7'"), spec.group, spec.date_column, spec.columns)
+
+
+@query
+def watermark_state(spark, sf):
+    """Latest dates kept with the table, after three loads and a compaction; no bar is read."""
+    lake, rows = _lake(spark), T.daily_bars(spark, sf)
+    for part in range(3):
+        lake.append("kline_daily", rows.where(F.col("ingest_seq") % 3 == part), part + 1, "ingest_seq")
+        if part == 1:
+            lake.compact("kline_daily")
+    return lake.watermarks("kline_daily")[0]
+
+
 @query
 def membership_open(spark, sf):
     """Members whose code ends in 3 have no end."""

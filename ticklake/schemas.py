@@ -189,6 +189,7 @@ DEFAULT_BEGIN = "2010-01-01"
 EARLIEST_VALID_DATE = "1990-01-01"
 
 # --------------------------------------------------------------------------- tables
+# Table and column names, types and keys are fixed by the data model.
 
 _KLINE = _schema({"trade_time": TS, "code": STR}, _all("open high low close volume amount", DBL))
 
@@ -243,5 +244,8 @@ TABLES = {
                           {"start_date": DATE, "end_date": DATE, "row_count": LONG, "reject_count": LONG, "message": STR,
                            "started_at": TS, "finished_at": TS}),
                   ("task_name", "scope_key", "run_date", "started_at"), "run_date", append_only=True),
+        TableSpec("rejected_rows",
+                  _schema({"run_date": DATE, "target_table": STR, "task_name": STR, "reason": STR}, {"row": STR}),
+                  ("target_table", "task_name", "run_date", "reason"), "run_date", append_only=True),
     )
 }

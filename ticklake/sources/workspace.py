@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +21,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/ticklake/{purpose}/{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
+def settle(df: DataFrame, purpose: str = "settled", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet and read it back: computed a single time, cheap to count, safe
     against lost executors, and with real file sizes for the optimizer."""
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     settled = df.sparkSession.read.schema(df.schema).parquet(path)
     settled.settled_at = path
     return settled
