@@ -344,7 +344,34 @@ ORACLE["kline_daily_ordered"] = ORACLE["kline_daily_range"]
 _SEVEN = "SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 3 = 0"
 _HALVES = "CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_extendedprice / l_quantity END"
 _ALL_DAYS = "range(DATE '1996-02-01', DATE '1996-02-11', INTERVAL 1 DAY)"
+_TRADED = """traded AS (SELECT DISTINCT trade_date FROM calendar WHERE market = 'SH' AND day(trade_date) % 10 <> 7)"""
+#: traded minutes since the open of a day with sessions 9:30-11:30 and 13:00-15:00, and the time of such a minute
+_TRADED_MINUTE = """CASE WHEN m >= 570 AND m < 690 THEN m - 570 WHEN m = 690 THEN 119 WHEN m >= 780 AND m < 900 THEN m - 660 WHEN m = 900 THEN 239 END"""
+
+
+def _session_bars(n: int) -> str:
+    return _with(MINUTES, f"u AS ({_latest('minutes', BAR_KEY, '*')})", "c AS (SELECT *, hour(trade_time) * 60 + minute(trade_time) AS m FROM u)",
+                 f"t AS (SELECT *, ({_TRADED_MINUTE}) // {n} * {n} AS p FROM c)") + (
+        "SELECT code, date_trunc('day', trade_time)::TIMESTAMP + to_minutes(CAST(CASE WHEN p < 120 THEN p + 570 ELSE p + 660 END AS BIGINT)) AS trade_time, "
+        "arg_min(open, t.trade_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, t.trade_time) AS close, sum(volume) AS volume, "
+        "round(sum(amount), 2) AS amount FROM t WHERE p IS NOT NULL GROUP BY code, date_trunc('day', t.trade_time), p")
+
+
 ORACLE |= {
+    "membership_intervals": _with(MEMBERS, CALENDAR, _TRADED, "numbered AS (SELECT trade_date, row_number() OVER (ORDER BY trade_date) AS n FROM traded)",
+        "daily AS (SELECT DISTINCT security_type, code, d.trade_date, n FROM members m JOIN numbered d ON d.trade_date BETWEEN m.trade_date AND m.trade_date + 5 "
+        "AND d.trade_date < DATE '1997-01-01')",
+        "s AS (SELECT *, n - row_number() OVER (PARTITION BY security_type, code ORDER BY n) AS stretch FROM daily)")
+        + "SELECT security_type, code, min(trade_date) AS in_date, max(trade_date) AS out_date FROM s GROUP BY security_type, code, stretch",
+    "members_on_days": _with(MEMBERS, CALENDAR) + "SELECT DISTINCT c.trade_date, m.security_type, m.code FROM members m JOIN "
+        "(SELECT DISTINCT trade_date FROM calendar WHERE market = 'SH' AND day(trade_date) <= 2 AND trade_date >= DATE '1996-01-01') c "
+        "ON c.trade_date >= m.trade_date AND (m.code LIKE '%33' OR c.trade_date <= m.trade_date + 5)",
+    "factor_blocks": _with(FACTORS) + _latest(
+        "factors", "trade_date, code", "trade_date, code, factor_value", "factor_type = 'backward' AND code IN (SELECT CAST(p_partkey AS VARCHAR) FROM part)"),
+    "factor_block_index": _with(FACTORS, "i AS (SELECT CAST(p_partkey AS VARCHAR) AS code, (row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) - 1) // 64 AS block FROM part)")
+        + "SELECT trade_date, CAST(block AS INTEGER) AS block, 64 AS places, CAST(count(DISTINCT code) AS INTEGER) AS filled FROM factors JOIN i USING (code) "
+          "WHERE factor_type = 'adj' GROUP BY trade_date, block",
+    **{f"kline_resample_sessions_{n}": _session_bars(n) for n in (5, 60, 90, 120)},
     "kline_for_universe": _with(BARS, "daily AS (SELECT * FROM bars WHERE trade_time >= DATE '1996-01-01' AND trade_time < DATE '1997-01-01')")
         + _latest("daily", BAR_KEY, KLINE, f"code IN ({_SEVEN})"),
     "load_two_frames": _with(BARS) + _latest("bars", BAR_KEY, KLINE, "CAST(code AS BIGINT) % 4 IN (0, 1)"),
@@ -375,5 +402,7 @@ ORACLE |= {
         f"(SELECT unnest({_ALL_DAYS}) AS d) ON CAST(d AS DATE) BETWEEN m.trade_date AND m.trade_date + 5",
     "split_codes": "SELECT p_partkey, array_to_string([trim(x) FOR x IN string_split(p_name || ' ,, ' || p_type || ',' || p_name, ',') IF trim(x) <> ''], '|') AS codes FROM part",
     "ticks_with_copies_to_bars": _with(TICKS) + _STREAM_BARS,
+    "tick_totals_to_bars": _with(TICKS) + _STREAM_BARS,
+    "tick_stream_totals_to_bars": ORACLE["tick_stream_to_bars"],
     "tick_stream_with_copies_to_lake": ORACLE["tick_stream_to_bars"],
 }

@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ticklake import schemas as S
 from ticklake.functions import normalize as N
-from ticklake.operators import bars as B, matrix, quality, ranges, reconcile, watermarks as W
+from ticklake.operators import bars as B, matrix, membership, quality, ranges, reconcile, watermarks as W
 from ticklake.operators.dedup import latest_per_key, union_latest
 from ticklake.operators.lookup import distinct_in_order, only_codes, with_position
 from ticklake.plans import loads, views
 from ticklake.plans.market import MarketLake
 from ticklake.sources import raw, sample_tables as T
 from ticklake.sources.lake import Lake
-from ticklake.sources.workspace import scratch_path
+from ticklake.sources.workspace import scratch_path, settle
 from ticklake.streaming.ticks import run_stream_bars, stream_into_lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -616,6 +616,27 @@ def tick_stream_with_copies_to_lake(spark, sf):
     return _rounded(MarketLake(lake).query_kline_minute(T.user_codes(spark, sf), None, None, ordered=False))
 
 
+def _totals(spark, sf) -> DataFrame:
+    """Ticks as a level-1 feed gives them, with running totals of the day; each comes twice, first with another price and less volume."""
+    ticks = T.ticks(spark, sf).select("code", "trade_time", "last", "volume", "amount")
+    upto = Window.partitionBy("code", F.col("trade_time").cast("date")).orderBy("trade_time")
+    return _with_copies(ticks.withColumns({c: F.sum(c).over(upto) for c in ("volume", "amount")}))
+
+
+@query
+def tick_totals_to_bars(spark, sf):
+    return _rounded(B.total_ticks_to_bars(_totals(spark, sf), 5, order=["arrival"]))
+
+
+@query
+def tick_stream_totals_to_bars(spark, sf):
+    """The same feed as a file stream."""
+    feed = settle(_totals(spark, sf), "totals")
+    stream = spark.readStream.schema(feed.schema).parquet(feed.settled_at)
+    out, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    return _rounded(run_stream_bars(stream, out, state, minutes=5, order=["arrival"], totals=True))
+
+
 # ----------------------------------------------------------------- through the front door
 
 class _Drop:
@@ -754,6 +775,52 @@ def membership_natural_days(spark, sf):
     return raw.membership_daily(T.membership_intervals(spark, sf), days)
 
 
+def _traded_days(spark, sf) -> DataFrame:
+    """Days on which SH orders came, without those whose number ends in 7, so that stretches are cut."""
+    return T.calendar(spark, sf).where("market = 'SH' AND dayofmonth(trade_date) % 10 <> 7")
+
+
+@query
+def membership_intervals(spark, sf):
+    """Daily members folded into stretches of trading days."""
+    days = _traded_days(spark, sf)
+    daily = raw.membership_daily(T.membership_intervals(spark, sf), days.where("trade_date < DATE '1997-01-01'"))
+    return membership.fold(daily, days)
+
+
+@query
+def members_on_days(spark, sf):
+    """Members on the first trading days of months, by time bins; some memberships are open."""
+    days = T.calendar(spark, sf).where("market = 'SH' AND dayofmonth(trade_date) <= 2 AND trade_date >= DATE '1996-01-01'")
+    open_ended = T.membership_intervals(spark, sf).withColumn("out_date", F.when(~F.col("code").endswith("33"), F.col("out_date")))
+    return membership.members_on(open_ended, days)
+
+
+@query
+def factor_blocks(spark, sf):
+    """The factors of all parts in blocks of 64 codes, and back."""
+    rows = T.factors(spark, sf).where("factor_type = 'backward'")
+    blocks, index = matrix.factor_blocks(rows, T.part_codes(spark, sf), 64)
+    return matrix.cells_of(blocks, index)
+
+
+@query
+def factor_block_index(spark, sf):
+    """How many values each block of a date holds."""
+    rows = T.factors(spark, sf).where("factor_type = 'adj'")
+    blocks, _ = matrix.factor_blocks(rows, T.part_codes(spark, sf), 64)
+    filled = F.size(F.filter("factors", lambda v: v.isNotNull()))
+    return blocks.select("trade_date", "block", F.size("factors").alias("places"), filled.alias("filled"))
+
+
+def _sessions(minutes: int) -> Query:
+    return lambda spark, sf: _rounded(B.kline_resample_sessions(views.kline(T.minute_bars(spark, sf), None, None, None, ordered=False), minutes))
+
+
+for _n in (5, 60, 90, 120):
+    QUERIES[f"kline_resample_sessions_{_n}"] = _sessions(_n)
+
+
 @query
 def split_codes(spark, sf):
     text = F.concat("p_name", F.lit(" ,, "), "p_type", F.lit(","), "p_name")
