@@ -402,6 +402,9 @@ ORACLE |= {
         f"(SELECT unnest({_ALL_DAYS}) AS d) ON CAST(d AS DATE) BETWEEN m.trade_date AND m.trade_date + 5",
     "split_codes": "SELECT p_partkey, array_to_string([trim(x) FOR x IN string_split(p_name || ' ,, ' || p_type || ',' || p_name, ',') IF trim(x) <> ''], '|') AS codes FROM part",
     "ticks_with_copies_to_bars": _with(TICKS) + _STREAM_BARS,
+    "source_kline": _with(MINUTES) + _latest("minutes", BAR_KEY, KLINE, f"code < '000100' AND {TICK_PERIOD}"),
+    "source_kline_whole": _with(MINUTES) + _latest("minutes", BAR_KEY, KLINE),
+    "source_stream_to_bars": ORACLE["tick_stream_to_bars"],
     "tick_totals_to_bars": _with(TICKS) + _STREAM_BARS,
     "tick_stream_totals_to_bars": ORACLE["tick_stream_to_bars"],
     "tick_stream_with_copies_to_lake": ORACLE["tick_stream_to_bars"],

@@ -14,7 +14,7 @@ from ticklake.operators.dedup import latest_per_key, union_latest
 from ticklake.operators.lookup import distinct_in_order, only_codes, with_position
 from ticklake.plans import loads, views
 from ticklake.plans.market import MarketLake
-from ticklake.sources import raw, sample_tables as T
+from ticklake.sources import drops, raw, sample_tables as T
 from ticklake.sources.lake import Lake
 from ticklake.sources.workspace import scratch_path, settle
 from ticklake.streaming.ticks import run_stream_bars, stream_into_lake
@@ -637,6 +637,46 @@ def tick_stream_totals_to_bars(spark, sf):
     return _rounded(run_stream_bars(stream, out, state, minutes=5, order=["arrival"], totals=True))
 
 
+# ----------------------------------------------------------------- per-code drops as a data source
+
+def _minute_drop(spark, sf) -> str:
+    path = scratch_path(spark, "drop")
+    spec = S.TABLES["kline_minute"]
+    drops.write_drop(latest_per_key(T.minute_bars(spark, sf), spec.key, spec.values), "kline_minute", path)
+    return path
+
+
+@query
+def source_kline(spark, sf):
+    """A drop with a folder per code through the data source; codes and dates are filters of its reader."""
+    rows = drops.read_drop(spark, _minute_drop(spark, sf), task_bytes=1 << 16)
+    codes = [r[0] for r in T.user_codes(spark, sf).where("code < '000100'").collect()]  # a request by list
+    return ranges.date_range(rows.where(F.col("code").isin(codes)), "trade_time", TICK_BEGIN, TICK_END)
+
+
+@query
+def source_kline_whole(spark, sf):
+    return drops.read_drop(spark, _minute_drop(spark, sf))
+
+
+@query
+def source_stream_to_bars(spark, sf):
+    """The ticks as a feed of three loads through the same source, stopped after the second one and started again."""
+    path, out, state = (scratch_path(spark, x) for x in ("feed", "stream", "stream-state"))
+    ticks = T.ticks(spark, sf)
+    bounds = ["2024-01-11", "2024-01-21", None]
+    bars, begin = None, None
+    for n, end in enumerate(bounds, 1):
+        of_load = ticks if begin is None else ticks.where(F.col("trade_time") >= F.lit(begin).cast("timestamp_ntz"))
+        of_load = of_load if end is None else of_load.where(F.col("trade_time") < F.lit(end).cast("timestamp_ntz"))
+        drops.write_drop(of_load, "market_snapshot", f"{path}/load={n}")
+        begin = end
+        if n > 1:
+            feed = drops.stream_feed(spark, path, "market_snapshot").select("code", "trade_time", "last", "volume", "amount")
+            bars = run_stream_bars(feed, out, state, minutes=5, available_now=False)
+    return _rounded(bars)
+
+
 # ----------------------------------------------------------------- through the front door
 
 class _Drop:

@@ -107,9 +107,10 @@ def stream_into_lake(
 
 def run_stream_bars(
     ticks: DataFrame, out: str, checkpoint: str, minutes: int = 1, delay: str = WATERMARK,
-    order: Sequence[str] = (), totals: bool = False,
+    order: Sequence[str] = (), totals: bool = False, available_now: bool = True,
 ) -> DataFrame:
     """Work off everything that has arrived, then stop; the next run continues from ``checkpoint``. ``totals``: see ``stream_total_bars``.
+    A source that cannot name what is available at the start (Python sources) takes ``available_now=False``.
 
     The file sink records its batches, so a repeated batch after a failure is not written twice.
     Returns the bars written so far.
@@ -121,12 +122,13 @@ def run_stream_bars(
     if totals:
         spark.conf.set(conf, ROCKSDB)
     try:
-        query = (
-            bars.writeStream.format("parquet").outputMode("append")
-            .option("path", out).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start()
-        )
+        writer = bars.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint)
+        query = (writer.trigger(availableNow=True) if available_now else writer).start()
     finally:  # a running query keeps the setting that it started with
         spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
-    query.awaitTermination()
+    if available_now:
+        query.awaitTermination()
+    else:
+        query.processAllAvailable()  # the batch without data that lets the watermark close bars included
+        query.stop()
     return spark.read.schema(bars.schema).parquet(out)
