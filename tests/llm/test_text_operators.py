@@ -4,6 +4,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -352,3 +353,16 @@ def test_a_text_of_50_mb_needs_little_memory():
     run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     size, n, more = map(int, run.stdout.split())
     assert size >= 45 and n == 6_600_000 - 4 and more < 500, run.stdout
+
+
+def test_documents_of_many_repeated_lines(spark):
+    """Lines are looked up in order: the time does not grow with the square of a document's lines."""
+    def made(n):
+        rows = [(i, "\n".join(f"line {j}" for j in range(n)) + f"\nown {i}") for i in range(12)]
+        return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    got = line_dedup.drop_repeated_lines(made(300), min_docs=10)
+    assert rows(got, "doc_id", "text", "line_stats.n_dropped") == sorted(((i, f"own {i}", 300) for i in range(12)), key=repr)
+    start = time.perf_counter()
+    assert rows(line_dedup.drop_repeated_lines(made(8000), min_docs=10), "text") == sorted(((f"own {i}",) for i in range(12)), key=repr)
+    assert time.perf_counter() - start < 20

@@ -16,6 +16,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: repeated keys of a document up to which each of its lines is compared with all of them
+LOOK_THROUGH = 32
+
+
 def line_key(line: Column) -> Column:
     plain = F.btrim(line, F.lit(BLANKS))
     return F.when(F.octet_length(plain) == F.length(plain), F.lower(plain)).otherwise(F.translate(plain, UPPER, LOWER))
@@ -45,6 +49,18 @@ def repeated_lines(docs: DataFrame, key: str, text: str, min_docs: int, min_char
     return attach(pairs, repeated, ["a", "b"], "n_docs")
 
 
+def _holds(ordered: Column, value: Column) -> Column:
+    """Whether an array in order has a value: by looking through a short one, by halving steps in a long one, so that a document
+    of n lines costs n log n at most."""
+    def look(bound):
+        h, n = bound["h"], F.size(ordered)
+        # the last place whose value is not above h
+        place = F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(31))]), F.lit(0), lambda at, step: F.when((step < n - at) & (F.get(ordered, at + step) <= h), at + step).otherwise(at))
+        return F.coalesce(F.get(ordered, place) == h, F.lit(False))
+
+    return F.when(F.size(ordered) <= LOOK_THROUGH, F.array_contains(ordered, value)).otherwise(F.element_at(F.transform(F.array(F.struct(value.alias("h"))), look), 1))
+
+
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """All rows and columns of ``docs`` with ``text`` reduced, plus ``line_stats`` struct(n_lines, n_dropped).
 
@@ -55,11 +71,11 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     called ``line_stats`` is replaced.
     """
     found = repeated_lines(docs, key, text, min_docs, min_chars)
-    per_document = found.groupBy("document").agg(F.collect_set(F.struct("a", "b")).alias("_repeated"))
+    per_document = found.groupBy("document").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("_repeated"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), document_id(key, text).alias("document"))
     joined = rows.join(per_document, "document", "left")
     lines = F.split(F.coalesce(F.col(f"row.{text}"), F.lit("")), "\n", -1)
-    kept = F.when(F.col("_repeated").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("_repeated", key_hash(x))))
+    kept = F.when(F.col("_repeated").isNull(), lines).otherwise(F.filter(lines, lambda x: ~_holds(F.col("_repeated"), key_hash(x))))
     cleaned = joined.select("row", lines.alias("lines"), kept.alias("kept"))
     others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (text, "line_stats")]
     stats = F.struct(F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"))
