@@ -238,7 +238,7 @@ class Lake:
         return self.manifest(table).vacuum()
 
     def unique_months(self, table: str, begin=None, end=None) -> list[str]:
-        """Months in the range that one write holds, so that keys are unique there; known from the manifest, without a job.
+        """Months in the range that one write holds, so that keys are unique there; a look at the manifest, no job.
 
         It saves the read view its shuffle for every month that was loaded once or compacted since.
         """
