@@ -1,6 +1,9 @@
 import math
+import operator
+from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +70,38 @@ def test_top_k_of_few_rows_ties_and_large_numbers(spark):
     assert sorted(map(tuple, got.collect())) == best(large, 10, 4)
 
 
+def test_top_k_beyond_exact_doubles(spark):
+    """Numbers up to the largest double, one outlier in a shard, scores beyond a long: exact, and cut to a long's range."""
+    rng = np.random.default_rng(6)
+    data = [(i, [float(x) for x in rng.standard_normal(4) * 10.0 ** rng.choice([0, 4, 8, 9])], 0) for i in range(120)]
+    data += [(200, [1e307, -1e307, 1.0, 2.0], 0), (201, [-1.7e308, 0.0, 0.0, 1.0], 0), (220, [3.0, 5e-324, 0.0, 0.0], 0), (203, [0.0, 0.0, 1e300, -1e300], 0)]
+    whole = {i: [math.floor(Fraction(64) * Fraction(x)) for x in v] for i, v, _ in data}
+    want = []
+    for q in whole:
+        if q % 20 == 0:
+            cut = sorted((-min(max(sum(map(operator.mul, whole[q], v)), -(1 << 63)), (1 << 63) - 1), i) for i, v in whole.items() if i != q)[:15]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(cut)]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>, label int")
+    for shard_rows in (30, 1000):
+        got = ball_tree.top_k(frame, "vec_id", "embedding", 20, 15, 64.0, shard_rows=shard_rows, query_rows=3)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert {abs(s) for *_, s in want} & {(1 << 63) - 1}
+
+
+def test_an_outlier_stays_out_of_the_tree(monkeypatch):
+    """One large row leaves the tree to the others; only that row is worked out in whole numbers."""
+    rng = np.random.default_rng(7)
+    rows_ = [[float(x) for x in v] for v in rng.standard_normal((2000, 32))]
+    rows_[77][3] = 1e14
+    calls = []
+    whole = ball_tree.Floors.whole
+    monkeypatch.setattr(ball_tree.Floors, "whole", lambda self, row: calls.append(row) or whole(self, row))
+    shard = pa.table({"vec_id": range(2000), "vector": rows_})
+    asked = pa.table({"query_id": range(5000, 5020), "vector": rows_[100:120], "least": pa.array([None] * 20, pa.int64())})
+    found = ball_tree._search_shard(64.0, 5)(shard, asked)
+    assert found.num_rows == 100 and len(calls) == 40
+
+
 def test_ball_tree_prunes():
     rng = np.random.default_rng(2)
     centres = rng.integers(-600, 600, (40, 16))

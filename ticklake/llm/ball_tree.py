@@ -3,12 +3,15 @@
 A node is a centre and a radius; no member scores above q * centre + |q| * radius. Nodes are opened in the order of that
 bound and the search ends when the best open bound is below the query's k-th score. Every query first searches one
 shard, its own; the k-th score found there is shared with all other shards, which return only what can still matter.
-Queries and shards meet in bounded groups: all shards have about the same size, queries come in blocks.
+Queries and shards meet in bounded groups: all shards have about the same size, queries come in blocks. Rows too large for exact
+doubles stay out of the tree and are searched apart, so that a few of them cost little.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -71,32 +74,67 @@ class BallTree:
         return ids, scores
 
 
-def _matrix(column: pa.ChunkedArray, scale: float) -> np.ndarray:
-    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return np.floor(scale * flat).reshape(len(column), -1)
+class Floors:
+    """floor(scale * component) of some vectors: as doubles, by rows; beyond the range of doubles as whole numbers of any size."""
+
+    def __init__(self, column: pa.ChunkedArray, scale: float):
+        self.scale = scale
+        self.raw = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+        with np.errstate(over="ignore"):
+            self.floors = np.floor(scale * self.raw)
+        # sums of products of rows below this size are exact in doubles
+        self.small = np.abs(self.floors).max(axis=1) < (_EXACT / self.raw.shape[1]) ** 0.5
+
+    def whole(self, row: int) -> list[int]:
+        return [int(f) if np.isfinite(f) else math.floor(Fraction(self.scale) * Fraction(x)) for f, x in zip(self.floors[row].tolist(), self.raw[row].tolist())]
+
+    def shrunk(self, rows: np.ndarray) -> tuple[np.ndarray, int]:
+        """The floors of some rows divided by a power of two that leaves none above 1, and that power."""
+        power = int(np.frexp(np.abs(self.raw[rows]).max())[1] + np.frexp(self.scale)[1]) if len(rows) else 0
+        floors = self.floors[rows]
+        return np.where(np.isfinite(floors), np.ldexp(floors, -power), self.raw[rows] * np.ldexp(self.scale, -power)), power
+
+
+def _best_of_large(rows: Floors, at: np.ndarray, ids: np.ndarray, queries: Floors, query: int, k: int) -> list[tuple[int, int]]:
+    """(score, id) of the k best of the rows ``at``: doubles with a bound of their error leave few rows, which whole numbers decide."""
+    if not len(at):
+        return []
+    (own, p), (asked, q) = rows.shrunk(at), queries.shrunk(np.array([query]))
+    about = own @ asked[0]
+    error = (own.shape[1] + 4) * 2.0**-52 * (np.abs(own) @ np.abs(asked[0])) + 1e-300
+    # what surely lies beyond a long is cut to its range, and then ties by id
+    limit = float(np.ldexp(1.0, 63 - p - q)) if p + q > 63 else np.inf
+    top, bottom = about - error > limit, about + error < -limit
+    low, high = np.minimum(about - error, limit), np.minimum(about + error, limit)
+    least = np.sort(low)[-k] if len(at) >= k else -np.inf
+    asked_whole = queries.whole(query)
+    found = []
+    for i in np.flatnonzero(high >= least):
+        score = _LONG if top[i] else -_LONG - 1 if bottom[i] else sum(a * b for a, b in zip(asked_whole, rows.whole(at[i])))
+        found.append((min(max(score, -_LONG - 1), _LONG), int(ids[i])))
+    return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
 
 
 def _search_shard(scale: float, k: int):
     def run(shard: pa.Table, queries: pa.Table) -> pa.Table:
-        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        out: list[tuple[int, int, int]] = []
         if shard.num_rows and queries.num_rows:
-            rows, asked = _matrix(shard["vector"], scale), _matrix(queries["vector"], scale)
-            ids = shard["vec_id"].to_numpy()
-            exact = float(np.abs(rows).max()) * float(np.abs(asked).max()) * rows.shape[1] < _EXACT
-            tree = BallTree(ids, rows) if exact else None
-            for own, query, least in zip(queries["query_id"].to_numpy(), asked, queries["least"].to_pylist()):
-                if exact:
-                    low = -np.inf if least is None else float(least)
+            rows, asked, ids = Floors(shard["vector"], scale), Floors(queries["vector"], scale), shard["vec_id"].to_numpy()
+            small, large, every = np.flatnonzero(rows.small), np.flatnonzero(~rows.small), np.arange(len(ids))
+            tree = BallTree(ids[small], rows.floors[small]) if len(small) else None
+            for i, (own, least) in enumerate(zip(queries["query_id"].to_pylist(), queries["least"].to_pylist())):
+                best: list[tuple[int, int]] = []
+                if asked.small[i] and tree is not None:
+                    low, query = -np.inf if least is None else float(least), asked.floors[i]
                     bounds = tree.centres @ query + np.sqrt(query @ query) * tree.radii
                     found, scores = tree.search(own, query, bounds + 1e-9 * np.abs(bounds) + 0.25, k, low)
-                    scores = scores.astype(np.int64)
-                else:  # beyond exact doubles: whole numbers of any size, the plain way
-                    whole = [min(max(sum(int(a) * int(b) for a, b in zip(query, row)), -_LONG - 1), _LONG) for row in rows]
-                    best = sorted((-s, i) for s, i in zip(whole, ids.tolist()) if i != own)[:k]
-                    found, scores = np.array([i for _, i in best], np.int64), np.array([-s for s, _ in best], np.int64)
-                for part, values in zip(out, (np.full(len(found), own), found, scores)):
-                    part.append(values)
-        return pa.table({n: np.concatenate(x).astype(np.int64) for n, x in zip(("query_id", "vec_id", "score"), out)})
+                    best = list(zip(scores.astype(np.int64).tolist(), found.tolist()))
+                # rows or a query beyond exact doubles
+                rest = large if asked.small[i] else every
+                rest = rest[ids[rest] != own]
+                best += _best_of_large(rows, rest, ids[rest], asked, i, k)
+                out += [(own, vec_id, score) for score, vec_id in sorted(best, key=lambda x: (-x[0], x[1]))[:k]]
+        return pa.table({n: pa.array([x[i] for x in out], pa.int64()) for i, n in enumerate(("query_id", "vec_id", "score"))})
 
     return run
 
@@ -107,7 +145,7 @@ def top_k(table: DataFrame, key: str, vector: str, every: int, k: int, scale: fl
 
     Vectors that are NULL, empty or hold NULL or non-finite components, and rows without key, take no part. Of rows that
     share a key the one with the smallest vector counts. Vectors are compared with those of their own length.
-    Scores outside a long are cut to its range. Other columns do not matter.
+    Scores outside a long are cut to its range before they are ranked. Other columns do not matter.
     """
     known = table.where(F.col(key).isNotNull() & usable(F.col(vector))).groupBy(F.col(key).cast("long").alias("vec_id")).agg(F.min(vector).alias("vector"))
     known = settle(known.withColumn("dim", F.size("vector")), "vectors")
