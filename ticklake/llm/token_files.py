@@ -32,7 +32,7 @@ from ticklake.llm import range_coder
 from ticklake.llm.common import small_batches
 from ticklake.sources.workspace import scratch_path
 
-SEGMENT_IDS, BLOCK_IDS, LEAST_BLOCK = 1 << 20, 1024, 256
+SEGMENT_IDS, BLOCK_IDS = 1 << 20, 2048
 #: ids that are coded side by side, and distinct runs that a task remembers
 TOGETHER_IDS, KNOWN_RUNS = 1 << 22, 1 << 19
 _SEGMENT = "part int, seq int, start long, keys array<bigint>, n_ids array<int>, block_ids array<int>, block_crcs array<bigint>, blocks array<binary>"
@@ -129,12 +129,10 @@ def _segments(part: int, keys: list, sizes: np.ndarray, ids: np.ndarray, seq: in
     cuts = [0]
     while cuts[-1] < len(keys):
         cuts.append(max(cuts[-1] + 1, int(np.searchsorted(edges, edges[cuts[-1]] + SEGMENT_IDS, "right")) - 1))
-    # few ids make short blocks, so that many are coded side by side
-    size = min(BLOCK_IDS, max(LEAST_BLOCK, len(ids) // 1024))
     rows, blocks = [], []
     for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         own = ids[edges[a]:edges[b]]
-        parts = [own[j:j + size] for j in range(0, len(own), size)]
+        parts = [own[j:j + BLOCK_IDS] for j in range(0, len(own), BLOCK_IDS)]
         blocks += parts
         rows.append({
             "part": part, "seq": seq + i, "start": start + int(edges[a]), "keys": keys[a:b], "n_ids": sizes[a:b].tolist(),
@@ -208,7 +206,7 @@ def _documents(segments: list[dict], names: list[str]) -> Iterator[pa.RecordBatc
         for i, (block, crc) in enumerate(zip(own, segment["block_crcs"])):
             if zlib.crc32(block.astype("<u4").tobytes()) != crc:
                 raise ValueError(f"block {i} of part {segment['part']}, segment {segment['seq']} is damaged")
-        ids = np.concatenate([np.zeros(0, np.int32), *own]).astype("<u4")
+        ids = np.concatenate([np.zeros(0, np.uint32), *own]).astype("<u4")
         edges = np.concatenate([[0], np.cumsum(segment["n_ids"], dtype=np.int64)])
         packed = [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
         n = len(packed)
