@@ -184,6 +184,7 @@ _STREAM_BARS = """
 ORACLE: dict[str, str] = {
     "kline_daily_range": _with(BARS) + _latest(
         "bars", BAR_KEY, KLINE, f"{PERIOD} AND code IN (SELECT CAST(p_partkey AS VARCHAR) FROM part)"),
+    "kline_bucketed_range": _with(BARS) + _latest("bars", BAR_KEY, KLINE, PERIOD),
     "kline_minute_range": _with(MINUTES) + _latest(
         "minutes", BAR_KEY, KLINE, f"{TICK_PERIOD} AND {HHMM} BETWEEN 930 AND 1500"),
     "kline_time_of_day": _with(MINUTES) + f"SELECT {KLINE}, ingest_seq FROM minutes WHERE {HHMM} BETWEEN 930 AND 1130",

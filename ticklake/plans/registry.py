@@ -15,6 +15,7 @@ from ticklake.operators.lookup import distinct_in_order, only_codes, with_positi
 from ticklake.plans import loads, views
 from ticklake.plans.market import MarketLake
 from ticklake.sources import drops, raw, sample_tables as T
+from ticklake.sources.buckets import BucketedTable
 from ticklake.sources.lake import Lake
 from ticklake.sources.workspace import scratch_path, settle
 from ticklake.streaming.ticks import run_stream_bars, stream_into_lake
@@ -44,6 +45,17 @@ def kline_daily_range(spark, sf):
     return views.kline(T.daily_bars(spark, sf), T.part_codes(spark, sf), BEGIN, END, ordered=False)
 
 
+@query
+def kline_bucketed_range(spark, sf):
+    """Bars of three loads into a bucketed table, the last write of each key: without a shuffle."""
+    bars = T.daily_bars(spark, sf).select(*S.KLINE_FIELDS, S.INGEST_SEQ)
+    path = scratch_path(spark, "buckets")
+    table = BucketedTable(spark, f"bars_{path.rsplit('/', 1)[1]}", path, bars.schema, BAR_KEY, "trade_time", 4)
+    for load in range(3):
+        table.append(bars.where(F.pmod(S.INGEST_SEQ, F.lit(3)) == load))
+    return views.kline(table.rows(), None, BEGIN, END, ordered=False)
+
+
 @query
 def kline_daily_ordered(spark, sf):
     return views.kline(T.daily_bars(spark, sf), T.part_codes(spark, sf), BEGIN, END, ordered=True)
