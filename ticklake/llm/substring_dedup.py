@@ -18,14 +18,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm import words
-from ticklake.llm.common import discard, settle, sorted_groups
+from ticklake.llm.common import discard, settle, small_batches, sorted_groups
 
 WINDOW_WORDS = 50
-CHUNK_ROWS = 4096
+#: a chunk holds so many rows and bytes of text at most (a longer text is one of its own), a cell the hashes of about so many bytes
+CHUNK_ROWS, CHUNK_BYTES, CELL_BYTES = 4096, 16 << 20, 32 << 20
 _FRAGMENT_BITS = 30
 _INDEXED, _SHARED = 1, 2
 #: a window on its way to its cell: hash, second hash with the lowest bit for "in several documents of the chunk", smallest document
@@ -58,6 +60,24 @@ def _documents(column: pa.ChunkedArray | pa.Array) -> Iterator[tuple[int, bytes,
             yield first + i, data[offsets[i]:offsets[i + 1]].tobytes(), hashed[at[i]:at[i + 1]]
 
 
+def _in_chunks(max_rows: int, max_bytes: int):
+    """Numbers the rows of a task by chunk, in their order."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, n_rows, n_bytes = TaskContext.get().partitionId() << 33, 0, 0
+        for whole in batches:
+            for batch in small_batches([whole], 4 << 20):
+                numbers = []
+                for size in batch["size"].to_pylist():
+                    if n_rows and (n_rows >= max_rows or n_bytes + size > max_bytes):
+                        chunk, n_rows, n_bytes = chunk + 1, 0, 0
+                    n_rows, n_bytes = n_rows + 1, n_bytes + size
+                    numbers.append(chunk)
+                yield batch.append_column("chunk", pa.array(numbers, pa.int64()))
+
+    return run
+
+
 def anchors(batches: Iterable[pa.RecordBatch], block: int, cells: int) -> Iterator[pa.RecordBatch]:
     """(cell, chunk, entries): per chunk and cell the sorted fragments of all probes, each with its marks."""
     for group in sorted_groups(batches, 1):
@@ -245,18 +265,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     after the other, in a document with a smaller (integer) key; all windows are judged on the input. One row per row of ``docs``. NULL text: no
     words. Rows with the same key are the same document and never remove words of each other. Rows without key
     stay whole and remove nothing. Other columns do not matter.
+
+    The number of cells follows the bytes of all texts, so that a cell, which is one task, stays as large as it is.
     """
-    cells = cells or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = F.monotonically_increasing_id()
-    chunk = F.shiftright(number, 33) * (1 << 33) + F.floor(number.bitwiseAND((1 << 33) - 1) / CHUNK_ROWS)
-    rows = settle(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), chunk.cast("long").alias("chunk")), "chunks")
+    sized = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size"))
+    chunks = settle(sized.mapInArrow(_in_chunks(CHUNK_ROWS, CHUNK_BYTES), "doc_id long, text string, size long, chunk long"), "chunks")
+    total = chunks.agg(F.sum("size")).first()[0] or 0
+    cells = cells or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // CELL_BYTES))
+    rows = chunks.select("doc_id", "text", "chunk")
     block = window // 2
 
     sent = rows.select("chunk", "doc_id", "text").mapInArrow(lambda batches: anchors(batches, block, cells), "cell int, chunk long, entries binary")
     hits = settle(sent.repartitionById(cells, "cell").mapInArrow(hit_anchors, "chunk long, cell int, entries binary"), "anchors")
     extended = rows.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(_extend(window, cells, digest), _RESULT)
     extended = settle(extended, "extended")
-    discard(rows, hits)
+    discard(chunks, hits)
     windows = extended.where(F.col("kind") == _ENTRIES).select("cell", "chunk", "entries")
     first = windows.repartitionById(cells, "cell").mapInArrow(first_documents, "chunk long, cell int, entries binary")
     left = extended.where(F.col("kind") == _OPEN).select("chunk", "doc_id", "text")
