@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,22 +26,40 @@ from ticklake.llm.components import connected_components
 from ticklake.llm.vectors import usable
 
 LEAST_COSINE = 0.93
-#: blocks, codewords per block, and the inner product (in units of 1 / sqrt(length)) that a filter asks for; a vector
-#: far from all codewords lowers it to this share of its best filter's, so that all vectors get several filters
-CODE_BLOCKS, CODEWORDS, CAP, BEST_SHARE = 2, 128, 3.0, 0.8
+CODE_BLOCKS = 2
+
+
+class Code(NamedTuple):
+    """Codewords per block, and the inner product (in units of 1 / sqrt(length)) that a filter asks for; a vector far from
+    all codewords lowers it to ``best_share`` of its best filter's, so that all vectors get several filters."""
+
+    codewords: int
+    cap: float
+    best_share: float
+
+
+#: codes by the classes of the largest label: up to so many each. More filters with smaller caps keep the number of filters of
+#: a vector, and a filter's vectors grow slower than the label (0.23 %, 0.02 % and 0.002 % of it hold one filter)
+CODES = ((1 << 18, Code(128, 3.0, 0.8)), (1 << 22, Code(512, 3.75, 0.85)), (1 << 62, Code(2048, 4.4, 0.88)))
+#: shorter vectors keep the first code: their few directions are all taken
+LEAST_LENGTH = 32
 SKETCH_BITS = 256
 #: places in which sketches of a link differ at most: expected 0.12 * 256 = 31, standard deviation 5.2
 SKETCH_APART = 83
 BLOCK = 1024
 
 
+def code_for(n_classes: int) -> Code:
+    return next(code for most, code in CODES if n_classes <= most)
+
+
 @lru_cache(8)
-def code(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def directions_of(length: int, codewords: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rotation, codewords by block, and sketch directions for vectors of a length; the same on every executor."""
     rng = np.random.default_rng(length)
     width = -(-length // CODE_BLOCKS)
     rotation = np.linalg.qr(rng.standard_normal((width * CODE_BLOCKS, width * CODE_BLOCKS)))[0][:length]
-    words = rng.standard_normal((CODE_BLOCKS, CODEWORDS, width))
+    words = rng.standard_normal((CODE_BLOCKS, codewords, width))
     words /= np.linalg.norm(words, axis=2, keepdims=True)
     return rotation, words, rng.standard_normal((length, SKETCH_BITS))
 
@@ -62,22 +81,31 @@ def _unit(column: pa.Array) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def filtered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def filters_of(unit: np.ndarray, code: Code) -> list[np.ndarray]:
+    """Numbers of the filters of unit vectors of one length."""
+    length = unit.shape[1]
+    code = code if length >= LEAST_LENGTH else CODES[0][1]
+    rotation, words, _ = directions_of(length, code.codewords)
+    products = (unit @ rotation).reshape(len(unit), CODE_BLOCKS, -1).transpose(1, 0, 2) @ words.transpose(0, 2, 1)
+    # a direction is its codewords over sqrt(blocks)
+    limit = code.cap / np.sqrt(length) * np.sqrt(CODE_BLOCKS)
+    tops = products.max(axis=2).sum(axis=0)
+    return [list_decode(products[:, i], min(limit, code.best_share * top)) for i, top in enumerate(tops)]
+
+
+def filtered(code: Code):
     """(id, filters, sketch) of vectors of any lengths."""
-    for batch in small_batches(batches):
-        lengths = batch.column(1).value_lengths().to_numpy()
-        for length in np.unique(lengths):
-            part = batch.filter(pa.array(lengths == length))
-            rotation, words, directions = code(int(length))
-            unit = _unit(part.column(1))
-            blocks = (unit @ rotation).reshape(len(unit), CODE_BLOCKS, -1)
-            products = np.einsum("nbw,bkw->nbk", blocks, words)
-            limit = CAP / np.sqrt(length) * np.sqrt(CODE_BLOCKS)
-            # a direction is its codewords over sqrt(blocks)
-            tops = products.max(axis=2).sum(axis=1)
-            found = [list_decode(p, min(limit, BEST_SHARE * top)) for p, top in zip(products, tops)]
-            sketches = np.packbits(unit @ directions > 0, axis=1)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64())), pa.array([s.tobytes() for s in sketches], pa.binary())], ["id", "filters", "sketch"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            lengths = batch.column(1).value_lengths().to_numpy()
+            for length in np.unique(lengths):
+                part = batch.filter(pa.array(lengths == length))
+                unit = _unit(part.column(1))
+                sketches = np.packbits(unit @ directions_of(int(length), code.codewords)[2] > 0, axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(filters_of(unit, code), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sketches], pa.binary())], ["id", "filters", "sketch"])
+
+    return run
 
 
 def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,7 +181,8 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     classes = settle(classes, "classes")
 
     reps = classes.select(F.col("rep").alias("id"), "vector")
-    decoded = settle(reps.mapInArrow(filtered, "id long, filters array<long>, sketch binary"), "filters")
+    largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    decoded = settle(reps.mapInArrow(filtered(code_for(largest)), "id long, filters array<long>, sketch binary"), "filters")
     named = decoded.join(classes.select(F.col("rep").alias("id"), "label", F.size("vector").alias("dim")), "id")
     group, part = ["label", "dim", "filter"], ["label", "dim", "filter", "low", "high"]
     spread = settle(named.select("label", "dim", F.explode("filters").alias("filter"), "id", "sketch"), "spread")
