@@ -18,6 +18,7 @@ from llm.corpus import SCHEMA, corpus, near_groups, shingles, without_repeated_l
 from ticklake.llm import byte_bpe, line_dedup, minhash_dedup, mixing, substring_dedup, token_counts, token_files, toxicity, words
 from ticklake.llm.components import connected_components
 from ticklake.llm.queries import bpe_rules
+from ticklake.operators import lookup
 
 CORPUS = corpus()
 PYTHON = re.compile("EvalPython|EvalPandas|InArrow|InPandas")
@@ -185,6 +186,8 @@ def _without_repeats(texts: list[tuple], window: int) -> list[tuple]:
 @pytest.mark.parametrize("window", [50, 51, 7])
 def test_repeated_passages_go(docs, nothing, window, monkeypatch):
     monkeypatch.setattr(substring_dedup, "CHUNK_ROWS", 9)
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(substring_dedup, "CELL_BYTES", 30_000)
     want = _without_repeats([(r[0], r[1]) for r in CORPUS], window)
     got = rows(substring_dedup.remove_repeats(docs, window=window))
     assert got == sorted(want, key=repr) and sum(w[2] for w in want) > 1000
@@ -350,6 +353,20 @@ def test_skewed_sources_are_shared_again(spark):
         assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-9 * (1 + want[s]) for s in want)
 
 
+def test_many_sources(spark, monkeypatch):
+    """100,000 sources: no task sorts them all, and what is known of them is joined beyond the size that may be broadcast."""
+    sizes = {f"s{i:06d}": i * 7919 % 1000 + 1 for i in range(100_000)}
+    data = spark.range(200_000).select(
+        "id", F.format_string("s%06d", (F.col("id") / 2).cast("int")).alias("source"), F.when(F.col("id") % 2 == 0, (F.col("id") / 2).cast("long") * 7919 % 1000 + 1).otherwise(0).alias("n"))
+    want = _targets(sizes)
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 1 << 20)
+    mixed = mixing.mix(data, "id", "source", F.col("n"), F.lit(1.0), (5, 2, 1), slices=4)
+    found = mixed.where("id % 2 = 0").select("id", "target", "taken", "size").toPandas()
+    expected = np.array([want[f"s{i // 2:06d}"] for i in found["id"]])
+    assert len(found) == 100_000 and np.abs(found["target"] - expected).max() < 1e-6
+    assert (np.abs(found["taken"] - expected) <= found["size"]).all() and mixed.where("id % 2 = 1 AND taken <> 0").count() == 0
+
+
 def test_the_queries_are_registered_without_gaps():
     from ticklake.llm.queries import QUERIES
 

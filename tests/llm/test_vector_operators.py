@@ -151,24 +151,29 @@ def test_a_label_full_of_equal_vectors(spark):
     assert sorted(map(tuple, got.collect())) == linked(data)
 
 
-def test_recall_at_the_limit():
+@pytest.mark.parametrize("code", [code for _, code in embedding_dedup.CODES], ids=str)
+def test_recall_at_the_limit(code):
     """Pairs at exactly the least cosine share a filter; 99.9 % are asked for here, all are found in practice."""
     rng = np.random.default_rng(4)
     for length in (8, 64):
-        rotation, words, _ = embedding_dedup.code(length)
         x = rng.standard_normal((1500, length))
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         z = rng.standard_normal((1500, length))
         z -= (z * x).sum(axis=1, keepdims=True) * x
         z /= np.linalg.norm(z, axis=1, keepdims=True)
 
-        def filters(unit):
-            products = np.einsum("nbw,bkw->nbk", (unit @ rotation).reshape(len(unit), embedding_dedup.CODE_BLOCKS, -1), words)
-            limit = embedding_dedup.CAP / length**0.5 * embedding_dedup.CODE_BLOCKS**0.5
-            return [set(embedding_dedup.list_decode(p, min(limit, embedding_dedup.BEST_SHARE * p.max(axis=1).sum()))) for p in products]
-
-        shared = [bool(a & b) for a, b in zip(filters(x), filters(0.93 * x + (1 - 0.93**2) ** 0.5 * z))]
+        mine, theirs = (embedding_dedup.filters_of(unit, code) for unit in (x, 0.93 * x + (1 - 0.93**2) ** 0.5 * z))
+        shared = [len(np.intersect1d(a, b)) > 0 for a, b in zip(mine, theirs)]
         assert np.mean(shared) >= 0.999
+        if length == 64:
+            assert 20 < np.mean([len(a) for a in mine]) < 120  # as many for a larger code
+
+
+def test_larger_codes_find_the_same_links(spark, monkeypatch):
+    data = vectors(n=400, dim=40)
+    monkeypatch.setattr(embedding_dedup, "CODES", ((1, embedding_dedup.CODES[0][1]), (1 << 62, embedding_dedup.CODES[1][1])))
+    got = embedding_dedup.near_vectors(spark.createDataFrame(data, SCHEMA))
+    assert sorted(map(tuple, got.where("vec_id IS NOT NULL").collect())) == linked(data)
 
 
 def test_list_decoding_finds_all_tuples():
