@@ -70,6 +70,17 @@ def test_salted_join_equals_broadcast_join_on_a_hot_code(spark, how):
     assert joined[0].columns == joined[1].columns
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_salted_copies_of_a_small_file_are_shuffled_not_broadcast(spark, tmp_path, how):
+    """A lookup past the byte limit is small on disk: Spark must not broadcast its salted copies."""
+    spark.range(2000).select(F.col("id").cast("string").alias("code")).write.parquet(str(tmp_path / "codes"))
+    codes = spark.read.parquet(str(tmp_path / "codes"))
+    big = spark.range(0, 3000, numPartitions=8).select((F.col("id") % 2500).cast("string").alias("code"))
+    salted = lookup.lookup_join(big, codes, ["code"], how, size=1 << 40)
+    assert "__salt" in plan(salted) and "BroadcastExchange" not in plan(salted)
+    assert rows(salted) == rows(big.join(codes, ["code"], how))
+
+
 def test_salt_spreads_copies_of_one_row(spark):
     copies = spark.range(0, 6400, numPartitions=64).select(F.lit("hot").alias("code"))
     salt = copies.select(F.pmod(F.spark_partition_id(), F.lit(lookup.SALTS)).alias("s")).groupBy("s").count()

@@ -53,7 +53,8 @@ def lookup_join(
     if size <= limit:
         return rows.join(F.broadcast(lookup), on, how)
     salted = rows.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Spark sizes the copies as one lookup and would broadcast all of them through the driver: shuffle them instead.
+    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("shuffle_merge")
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
