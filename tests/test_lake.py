@@ -387,3 +387,19 @@ def test_load_ids_grow_even_if_the_clock_is_behind(spark, lake, monkeypatch):
     monkeypatch.setattr(module.time, "time_ns", lambda: 1000)
     loads.load_kline(lake, kline(spark, range(2), price=9.0), run_date=DAY, force=True, lookback_days=5)
     assert rows(lake.latest("kline_daily"), "open") == [(10.0,), (10.0,), (9.0,), (9.0,)]
+
+
+def test_rows_of_one_key_spread_over_several_files(spark, lake):
+    """All rejects of one load and reason share their key; range partitioning alone put them into one task."""
+    bad = spark.range(4000).select(
+        F.lit(date(2024, 1, 2)).alias("run_date"), F.lit("kline_daily").alias("target_table"), F.lit("t").alias("task_name"),
+        F.lit("no code").alias("reason"), F.concat(F.lit('{"open": '), F.col("id").cast("string"), F.lit("}")).alias("row"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lake.append("rejected_rows", bad, 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = lake.read("rejected_rows")
+    assert stored.select(F.input_file_name()).distinct().count() > 1
+    assert rows(stored, "row") == rows(bad, "row")

@@ -108,7 +108,8 @@ class Lake:
         out = rows.withColumn(S.MONTH, N.month_key(spec.date_column)) if spec.date_column else rows
         order = [c for c in spec.key if c != spec.date_column] + [c for c in spec.key if c == spec.date_column]
         order = [S.MONTH, *order] if spec.date_column else order
-        out = out if one_file else out.repartitionByRange(*order)
+        # a hash of the whole row last: a key that holds many rows (rejects of one reason) spreads over several tasks
+        out = out if one_file else out.repartitionByRange(*order, F.xxhash64(*rows.columns))
         # observed in the final stage: a re-run task is counted once
         out = out.observe(observe, *self._metrics(spec)) if observe else out
         writer = out.sortWithinPartitions(*order).write
