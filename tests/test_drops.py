@@ -1,10 +1,14 @@
 """The data source of per-code drops and feeds."""
 
 import os
+import pickle
+import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from conftest import plan, rows
 from ticklake import schemas as S
@@ -58,6 +62,36 @@ def test_each_file_is_read_by_one_task(spark, drop):
     assert drops.read_drop(spark, drop + "-none").count() == 0
 
 
+def test_a_drop_is_what_spark_reads_too(spark, tmp_path):
+    """A file per code and task, whole or not there; rows without a code; a code with several row groups; no second drop in its place."""
+    path, n = str(tmp_path / "d"), drops.ROW_GROUP + 100
+    hot = spark.range(n).selectExpr("'hot' AS code", "timestamp_ntz'2024-01-02 09:30:00' + make_dt_interval(0, 0, 0, id / 1000) AS trade_time", "double(id) AS open")
+    odd = spark.createDataFrame([(None, datetime(2024, 1, 2), 1.0), ("", datetime(2024, 1, 2), 2.0), ("a b/c%", datetime(2024, 1, 3), None)], "code string, trade_time timestamp_ntz, open double")
+    given = hot.unionByName(odd)
+    drops.write_drop(given.selectExpr("*", *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in S.TABLES["kline_minute"].schema if f.name not in given.columns]), "kline_minute", path)
+    names = [os.path.join(d, f) for d, _, files in os.walk(path) for f in files if not f.endswith(".crc")]
+    assert all(re.search(r"/code=[^/]+/part-\d{5}\.parquet$", f) for f in names if not f.endswith("/_SUCCESS"))
+    got = drops.read_drop(spark, path)
+    plain = spark.read.schema(got.schema).parquet(path)
+    assert got.count() == n + 3 and got.where("code = 'hot'").selectExpr("sum(open)").first()[0] == n * (n - 1) / 2
+    assert rows(got.where("code <> 'hot'"), "code", "open") == [("__HIVE_DEFAULT_PARTITION__", 1.0), ("__HIVE_DEFAULT_PARTITION__", 2.0), ("a b/c%", None)]
+    assert got.where("code = ''").count() == 0
+    assert plain.count() == n + 3 and rows(plain.where("code IS NULL"), "open") == [(1.0,), (2.0,)]
+    with pytest.raises(AnalysisException):
+        drops.write_drop(minute_bars(spark), "kline_minute", path)
+
+
+def test_a_feed_reads_the_asked_columns_only(spark, drop):
+    """Files of a few rows come in one batch, and a task's paths are small for the driver to keep."""
+    schema = StructType([S.TABLES["kline_minute"].schema[c] for c in ("close", "code")])
+    reader = drops.DropSource({"path": drop}).streamReader(schema)
+    files = drops._tasks(drops._listed(drop, None), 1 << 30)
+    batches = list(reader.read(files[0]))
+    assert [b.schema.names for b in batches] == [["close", "code"]] and batches[0].num_rows == 30 * len(CODES)
+    many = drops.Files([(f"{i:06d}.SH", f"/feed/load=1/code={i:06d}.SH/part-00000.parquet") for i in range(1000)])
+    assert len(pickle.dumps(many)) < 10_000 and pickle.loads(pickle.dumps(many)) == many
+
+
 def test_a_feed_goes_on_where_it_stopped(spark, tmp_path):
     """Loads that are not complete wait, with all after them; a load is read once."""
     feed, out, state = str(tmp_path / "feed"), str(tmp_path / "out"), scratch_path(spark, "stream-state")

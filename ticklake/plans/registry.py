@@ -684,7 +684,7 @@ def source_stream_to_bars(spark, sf):
         drops.write_drop(of_load, "market_snapshot", f"{path}/load={n}")
         begin = end
         if n > 1:
-            feed = drops.stream_feed(spark, path, "market_snapshot").select("code", "trade_time", "last", "volume", "amount")
+            feed = drops.stream_feed(spark, path, "market_snapshot", ["code", "trade_time", "last", "volume", "amount"])
             bars = run_stream_bars(feed, out, state, minutes=5, available_now=False)
     return _rounded(bars)
 

@@ -2,7 +2,8 @@
 
 A drop is a folder with one folder per code, ``code=<code>/*.parquet``; a feed is a folder of drops ``load=<number>/``, each complete once it
 holds ``_SUCCESS``, numbers growing. Options: ``path`` (any location that pyarrow's file systems or a plain path reach), ``table`` (whose columns
-the files have; default kline_minute) and ``task_bytes`` (bytes of files a task reads, default 64 MB).
+the files have; default kline_minute) and ``task_bytes`` (bytes of files a task reads, default 64 MB). A schema given to the reader picks
+columns of the table: only those are read from the files.
 
 Filters on the code drop files before they are opened, filters on other columns go into the Parquet scan; both are
 accepted by the reader, so Spark does not test the rows again. No file is read by two tasks.
@@ -10,12 +11,17 @@ accepted by the reader, so Spark does not test the rows again. No file is read b
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterable, Iterator
+import uuid
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual)
@@ -25,6 +31,11 @@ from ticklake import schemas as S
 
 NAME = "ticklake_drop"
 TASK_BYTES = 64 << 20
+#: rows of one code that a task holds before it writes them as a row group, and rows of several files that it hands to Spark at once
+ROW_GROUP = 1 << 16
+BATCH_ROWS = 1 << 14
+#: fixed value: the folder of rows whose code is NULL or empty, as Spark's writers name it
+_NO_CODE = "__HIVE_DEFAULT_PARTITION__"
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 #: fixed values: characters that Spark writes as %XX in the names of partition folders, beside control characters
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f")
@@ -50,6 +61,13 @@ class Files(InputPartition):
         super().__init__(None)
         self.files = files
 
+    # the driver keeps the pickled tasks of a batch: thousands of paths each, alike but for the code
+    def __getstate__(self) -> bytes:
+        return zlib.compress(pickle.dumps(self.files), 1)
+
+    def __setstate__(self, state: bytes) -> None:
+        self.__init__(pickle.loads(zlib.decompress(state)))
+
 
 def _folder(code: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED or c < " " else c for c in code)
@@ -60,16 +78,16 @@ def _listed(path: str, codes: set[str] | None) -> list[tuple[str, str, int]]:
     from pyarrow import fs
 
     store, root = _place(path)
-    if codes is None:
-        folders = [i.path for i in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if i.type == fs.FileType.Directory]
+    if codes is None:  # one listing of the whole drop, not one for each of its folders
+        infos = store.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
     else:
         folders = [f"{root.rstrip('/')}/code={_folder(c)}" for c in sorted(codes)]
-    found = []
-    for folder in sorted(folders):
-        name = folder.rsplit("/", 1)[1]
-        if name.startswith("code="):
-            infos = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-            found += [(unquote(name[5:]), i.path, i.size) for i in infos if i.path.endswith(".parquet")]
+        infos = [i for folder in folders for i in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))]
+    found, depth = [], root.strip("/").count("/") + 2
+    for i in infos:
+        place = i.path.rsplit("/", 2)
+        if i.type == fs.FileType.File and place[2].endswith(".parquet") and place[1].startswith("code=") and i.path.strip("/").count("/") == depth:
+            found.append((unquote(place[1][5:]), i.path, i.size))
     return sorted(found)
 
 
@@ -88,29 +106,47 @@ class _Reading:
     """What batch and stream have in common."""
 
     def __init__(self, schema: StructType, options: dict):
-        self.names = schema.names
         self.path, self.task_bytes = options["path"], int(options.get("task_bytes", TASK_BYTES))
-        self.schema = S.TABLES[options.get("table", "kline_minute")].schema
+        self.whole, self.schema = S.TABLES[options.get("table", "kline_minute")].schema, schema
         self.codes: set[str] | None = None
         self.tests: list[tuple[str, str, object]] = []
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         import pyarrow.dataset as ds
+        import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import to_arrow_schema
 
         store, _ = _place(self.path)
-        wanted = to_arrow_schema(self.schema)
+        wanted, whole = to_arrow_schema(self.schema), to_arrow_schema(self.whole)
         test = None
         for column, compare, value in self.tests:
-            bound = pa.scalar(value, wanted.field(column).type)
+            bound = pa.scalar(value, whole.field(column).type)
             one = getattr(ds.field(column), compare)(bound)
             test = one if test is None else test & one
+        inside, form = pa.schema([f for f in whole if f.name != "code"]), ds.ParquetFileFormat()
+        columns, out = [f.name for f in wanted if f.name != "code"], pa.schema([f.with_nullable(True) for f in wanted])
+        held, n = [], 0
+
+        def batches(file: str) -> Iterator[pa.RecordBatch]:
+            if test is None:
+                with store.open_input_file(file) as opened:
+                    there = pq.ParquetFile(opened)
+                    if all(there.schema_arrow.get_field_index(c) >= 0 and there.schema_arrow.field(c).type == inside.field(c).type for c in columns):
+                        # as in most drops; a scan that brings columns to a schema takes twice as long for a small file
+                        yield from (b.select(columns) for b in there.iter_batches(ROW_GROUP, columns=columns, use_threads=False))
+                        return
+            yield from form.make_fragment(file, store).to_batches(schema=inside, columns=columns, filter=test, use_threads=False)
+
         for code, file in partition.files:
-            inside = pa.schema([f for f in wanted if f.name != "code"])
-            data = ds.dataset(file, schema=inside, format="parquet", filesystem=store)
-            for batch in data.to_batches(filter=test):
-                columns = [pa.array([code] * batch.num_rows, pa.string()) if f.name == "code" else batch.column(f.name) for f in wanted]
-                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([f.with_nullable(True) for f in wanted]))
+            for batch in batches(file):
+                found = [pa.repeat(pa.scalar(code, pa.string()), batch.num_rows) if f.name == "code" else batch.column(f.name) for f in wanted]
+                held.append(pa.RecordBatch.from_arrays(found, schema=out))
+                n += batch.num_rows
+                if n >= BATCH_ROWS:  # the files of most codes are small
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, n = [], 0
+        if n:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 class DropReader(_Reading, DataSourceReader):
@@ -123,7 +159,7 @@ class DropReader(_Reading, DataSourceReader):
                 self.codes = asked if self.codes is None else self.codes & asked
             elif isinstance(f, IsNotNull) and column == "code":
                 continue  # a folder's name is a code
-            elif column in self.schema.names and column != "code" and type(f) in _COMPARE:
+            elif column in self.whole.names and column != "code" and type(f) in _COMPARE:
                 self.tests.append((column, _COMPARE[type(f)], f.value))
             else:
                 yield f
@@ -175,10 +211,85 @@ class DropSource(DataSource):
         return FeedReader(schema, self.options)
 
 
+class _CodeFiles:
+    """Writes the rows of a task, sorted by code, as a file per code.
+
+    A file gets its name when it is whole, and the name follows the partition: a task that is run again, or twice at once, puts the same
+    files in the same places.
+    """
+
+    def __init__(self, path: str, inside: pa.Schema, date_column: str):
+        self.store, self.root = _place(path)
+        # what else a footer may hold is larger than the few rows beside it
+        self.options = {"store_schema": False, "use_dictionary": [f.name for f in inside if pa.types.is_string(f.type)], "write_statistics": [date_column]}
+        self.inside, self.name = inside, f"part-{TaskContext.get().partitionId():05d}"
+        self.code, self.held, self.n, self.writer = None, [], 0, None
+
+    def add(self, code: str | None, rows: pa.RecordBatch) -> None:
+        if self.n or self.writer:
+            if code != self.code:
+                self.close()
+            elif self.n >= ROW_GROUP:
+                self._flush()
+        self.code = code
+        self.held.append(rows)
+        self.n += rows.num_rows
+
+    def _flush(self) -> None:
+        import pyarrow.parquet as pq
+
+        if not self.writer:
+            self.folder = f"{self.root.rstrip('/')}/code={_folder(self.code) if self.code else _NO_CODE}"
+            self.store.create_dir(self.folder)
+            self.draft = f"{self.folder}/.{self.name}-{uuid.uuid4().hex}.tmp"
+            self.sink = self.store.open_output_stream(self.draft)
+            self.writer = pq.ParquetWriter(self.sink, self.inside, **self.options)
+        self.writer.write_table(pa.Table.from_batches(self.held, self.inside))
+        self.held, self.n = [], 0
+
+    def close(self) -> None:
+        if self.n:
+            self._flush()
+        if self.writer:
+            self.writer.close()
+            self.sink.close()
+            self.store.move(self.draft, f"{self.folder}/{self.name}.parquet")
+            self.writer = None
+
+
 def write_drop(rows: DataFrame, table: str, path: str) -> None:
-    """Rows with the columns of ``table`` as a drop: the files of a code come from as many tasks as hold it."""
-    plain = rows.select(*S.TABLES[table].columns)
-    plain.repartitionByRange("code", "trade_time").write.partitionBy("code").parquet(path)
+    """Rows with the columns of ``table`` as a drop: the files of a code come from as many tasks as hold it. Rows without a code go to
+    the folder that Spark's writers have for them.
+
+    Most files hold a few rows of many columns, which Spark's Parquet writer takes some twenty times as long for as pyarrow's.
+    """
+    from pyarrow import fs
+
+    schema, date_column = S.TABLES[table].schema, S.TABLES[table].date_column
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        inside = pa.schema([f.with_nullable(True) for f in to_arrow_schema(schema) if f.name != "code"])
+        files = _CodeFiles(path, inside, date_column)
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column(batch.schema.get_field_index("code")))
+            plain = pa.RecordBatch.from_arrays([batch.column(f.name).cast(f.type) for f in inside], schema=inside)
+            begin = 0
+            for code, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                files.add(code or None, plain.slice(begin, end - begin))
+                begin = end
+        files.close()
+        yield from ()
+
+    store, root = _place(path)
+    if store.get_file_info(root).type != fs.FileType.NotFound:
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] there is a drop already: {path}")
+    store.create_dir(root)
+    plain = rows.select(*S.TABLES[table].columns).repartitionByRange("code", "trade_time").sortWithinPartitions("code", "trade_time")
+    plain.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
+    store.open_output_stream(f"{root.rstrip('/')}/_SUCCESS").close()
 
 
 def read_drop(spark: SparkSession, path: str, table: str = "kline_minute", **options) -> DataFrame:
@@ -188,7 +299,10 @@ def read_drop(spark: SparkSession, path: str, table: str = "kline_minute", **opt
     return spark.read.format(NAME).options(path=path, table=table, **options).load()
 
 
-def stream_feed(spark: SparkSession, path: str, table: str = "kline_minute", **options) -> DataFrame:
-    """The feed under ``path`` as a stream, load by load."""
+def stream_feed(spark: SparkSession, path: str, table: str = "kline_minute", columns: Sequence[str] | None = None, **options) -> DataFrame:
+    """The feed under ``path`` as a stream, load by load; ``columns`` (all by default) are the only ones read."""
     spark.dataSource.register(DropSource)
-    return spark.readStream.format(NAME).options(path=path, table=table, **options).load()
+    stream = spark.readStream.format(NAME).options(path=path, table=table, **options)
+    if columns is not None:
+        stream = stream.schema(StructType([S.TABLES[table].schema[c] for c in columns]))
+    return stream.load()
