@@ -11,7 +11,7 @@ from ticklake import schemas as S
 from ticklake.operators import reconcile
 from ticklake.plans import loads, views
 from ticklake.plans.market import MarketLake
-from ticklake.sources import lake as lake_module, raw
+from ticklake.sources import lake as lake_module, raw, workspace
 from test_lake import DAY, kline, stored
 
 SPEC = S.TABLES["kline_daily"]
@@ -58,6 +58,38 @@ def test_rows_older_than_the_watermark_are_found(spark, lake):
         loads.load_late_rows(lake, "trade_calendar", drop)
 
 
+def test_many_late_days_are_found_without_copies_of_them(spark, lake, monkeypatch):
+    """Cells that are too many to broadcast: the same rows, no join with salted copies, and no scratch table left."""
+    first = [(c, d, float(d), 1) for c in "abcd" for d in range(20)] + [(None, 3, 1.0, 1)]
+    drop = bars(spark, first + [("a", 2, 9.0, 2), ("b", 3, None, 2), ("b", 3, 7.0, 1), ("e", 1, -0.0, 2), ("e", 1, -0.0, 2), (None, 4, 2.0, 2)])
+    lake.append("kline_daily", bars(spark, first).where("code <> 'd'"), 1)
+    view = lake.latest("kline_daily")
+    call = (drop, view, SPEC.key, SPEC.values, SPEC.group, SPEC.date_column, ["arrival"])
+    want = rows(reconcile.missing_rows(*call))
+    assert len(want) == 23
+    monkeypatch.setattr(reconcile, "lookup_join", None)
+    assert rows(reconcile.missing_rows(*call, max_broadcast_bytes=0)) == want
+    monkeypatch.setattr(reconcile, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(loads, "discard", lambda df, true=loads.discard: gone.append(df.settled_at) or true(df))
+    gone = []
+    assert loads.load_late_rows(lake, "kline_daily", drop, run_date=DAY, order="arrival").row_count == 23
+    assert len(gone) == 1 and not os.path.exists(gone[0].removeprefix("file:"))
+
+
+def test_a_write_leaves_no_shuffle_files(spark, lake):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString(",").split(",") if "/shuffle_" in f}
+
+    before = shuffled()
+    lake.append("kline_daily", bars(spark, [(c, d, 1.0, 1) for c in "abc" for d in range(50)]), 1)
+    kept = workspace.settle(lake.read("kline_daily").repartition(7))
+    assert kept.count() == 150
+    left = {f for f in shuffled() - before if f.endswith(".data")}
+    assert sum(os.path.getsize(f) for f in left) < 1000  # the count's
+    assert spark.conf.get(workspace.SHUFFLE_CLEANUP_CONF) == "false"
+
+
 def test_late_rows_of_requested_codes_and_days(spark, lake):
     class Source:
         order = ["arrival"]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticklake.operators.dedup import latest_per_key
-from ticklake.operators.lookup import lookup_bytes, lookup_join
+from ticklake.operators.lookup import MAX_BROADCAST_BYTES, lookup_bytes, lookup_join
 from ticklake.schemas import INGEST_SEQ, MONTH
-from ticklake.sources.workspace import settle
+from ticklake.sources.workspace import discard, settle
 
 DAY = "__day"
 SAME, NEW, CHANGED, GONE = "same", "new", "changed", "gone"
@@ -68,12 +69,17 @@ def missing_rows(
     group: Sequence[str],
     date_column: str,
     order: Sequence[str] = (),
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """The drop's rows that ``view`` (one row per key) lacks or holds with other values, one per key, whatever their date.
 
     Only cells (group, day) whose digests differ are looked at row by row, so the shuffle carries one small row per cell and
     task, and then the rows of the days that are really late. Copies of a key in the drop make its cell differ; the row
     comparison sees that nothing is new.
+
+    Cells beyond ``max_broadcast_bytes`` are not joined with the rows: their copies per salt (see ``lookup_join``) would be the largest
+    shuffle of all. Then every key is compared, on the key as it is, which finds the same rows: days of equal digests hold equal ones. What was
+    found is written once, so that its shuffles are gone before the next ones.
     """
     columns = [*key, *values]
     cells = compare_days(drop, view, group, date_column, columns).where(F.col("state").isin(NEW, CHANGED))
@@ -82,7 +88,14 @@ def missing_rows(
     if not size:
         return drop.select(*columns).where("false")
     by = [*order, *[v for v in values if v not in order]]
-    late = latest_per_key(_of_cells(drop, cells, group, date_column, size), key, values, by)
-    known = _of_cells(view, cells, group, date_column, size)
+    whole = size > (MAX_BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes)
+    if whole:  # groups and days that are NULL do not compare
+        discard(cells)
+        dated = [F.col(c).isNotNull() for c in (*group, date_column)]
+        some, known = drop.where(reduce(Column.__and__, dated)), view
+    else:
+        some, known = (_of_cells(rows, cells, group, date_column, size) for rows in (drop, view))
+    late = latest_per_key(some, key, values, by)
     old = known.select(*key, _row_hash(values).alias("__known"))
-    return late.join(old, list(key), "left").where(~F.col("__known").eqNullSafe(_row_hash(values))).select(*columns)
+    missing = late.join(old, list(key), "left").where(~F.col("__known").eqNullSafe(_row_hash(values))).select(*columns)
+    return settle(missing, "late_rows") if whole else missing  # which the caller may discard

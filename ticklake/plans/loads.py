@@ -18,7 +18,7 @@ from ticklake.operators import quality, reconcile, watermarks as W
 from ticklake.operators.lookup import only_clean, only_codes
 from ticklake.operators.ranges import as_date, date_range
 from ticklake.sources.lake import Lake, new_load_id, observed
-from ticklake.sources.workspace import settle
+from ticklake.sources.workspace import discard, settle
 
 
 @dataclass(frozen=True)
@@ -155,6 +155,8 @@ def incremental_load(
             latest, size = lake.watermarks(table)
             rows = W.past_watermarks(rows, latest, size, spec.group, spec.date_column, begin, end, lookback_days)
         stats = lake.append(table, rows, load_id, None if late else order)
+        if late and hasattr(rows, "settled_at"):
+            discard(rows)
         rejects = count_rejects()
         if bad is not None and rejects:
             _quarantine(lake, bad, table, task_name, run_date, load_id)

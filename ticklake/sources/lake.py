@@ -17,6 +17,7 @@ from ticklake.operators.dedup import latest_per_key, new_keys
 from ticklake.operators.lookup import row_bytes
 from ticklake.operators.ranges import as_date
 from ticklake.sources.manifest import Entry, Manifest, Marks
+from ticklake.sources.workspace import freeing_shuffles
 
 #: parts of the kept watermarks that a table may have before an append merges them into one
 MARK_PARTS = 16
@@ -113,7 +114,8 @@ class Lake:
         # observed in the final stage: a re-run task is counted once
         out = out.observe(observe, *self._metrics(spec)) if observe else out
         writer = out.sortWithinPartitions(*order).write
-        (writer.partitionBy(S.MONTH) if spec.date_column else writer).parquet(f"{self.path(table)}/{name}")
+        with freeing_shuffles(self.spark):
+            (writer.partitionBy(S.MONTH) if spec.date_column else writer).parquet(f"{self.path(table)}/{name}")
         return [Entry(name, month, load_id, not spec.append_only) for month in self.manifest(table).months_of(name)]
 
     @staticmethod
@@ -163,7 +165,8 @@ class Lake:
         """Write latest dates per group into a folder of their own; one row per group."""
         name = f"marks={load_id}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
-        latest.observe(seen, F.sum(row_bytes(latest)).alias("size")).write.parquet(f"{self.path(table)}/{name}")
+        with freeing_shuffles(self.spark):
+            latest.observe(seen, F.sum(row_bytes(latest)).alias("size")).write.parquet(f"{self.path(table)}/{name}")
         return Marks(name, load_id, (observed(seen) or {}).get("size") or 0)
 
     def _latest_of(self, table: str, entries: Sequence[Entry]) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,11 +23,24 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/ticklake/{purpose}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffle files when they end. Else these stay until the driver happens to collect its garbage, so
+    that a run of several writes holds the shuffles of all of them on disk."""
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
+
 def settle(df: DataFrame, purpose: str = "settled", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet and read it back: computed a single time, cheap to count, safe
     against lost executors, and with real file sizes for the optimizer."""
     path = scratch_path(df.sparkSession, purpose)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with freeing_shuffles(df.sparkSession):
+        df.write.partitionBy(*partition_by).parquet(path)
     settled = df.sparkSession.read.schema(df.schema).parquet(path)
     settled.settled_at = path
     return settled
